@@ -18,10 +18,15 @@ def row_digest(df: DataFrame) -> Column:
     return F.sha2(F.to_json(F.struct(*fields)), 256)
 
 
+def duplicate_digests(df: DataFrame, digest: str) -> DataFrame:
+    """Rows whose digest repeats an earlier one."""
+    copies = df.groupBy(digest).agg(F.count("*").alias("copies"))
+    return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row in every column, NULLs equal."""
-    copies = df.select(F.unhex(row_digest(df)).alias("digest")).groupBy("digest").agg(F.count("*").alias("copies"))
-    return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
+    return duplicate_digests(df.select(F.unhex(row_digest(df)).alias("digest")), "digest")
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from venuelens.functions import text as tx
-from venuelens.operators.quantiles import exact_quantiles
+from venuelens.operators.quantiles import column_quantiles
 
 
 def add_text_features(
@@ -56,10 +56,8 @@ def split(df: DataFrame, key: str, test_share: float = 0.2, seed: int = 42) -> t
 
 def fit_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     """Exact median per column; 0 for a column without values."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column_name", "value")
-    rows = exact_quantiles(long, "value", {"median": 0.5}, ["column_name"]).collect()  # one per column
-    found = {row["column_name"]: row["median"] for row in rows}
-    return {c: found.get(c, 0.0) for c in cols}
+    found = column_quantiles(df.select(*cols), cols, {"median": 0.5})
+    return {c: 0.0 if found[c]["median"] is None else found[c]["median"] for c in cols}
 
 
 def impute(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:

@@ -1,0 +1,14 @@
+"""Spread a scan that has fewer splits than the session has cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Redistribute a plain scan whose files give too few tasks for costly work per row.
+
+    A table of many files keeps its splits: nothing is shuffled then.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -8,9 +8,9 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from venuelens.functions.text import char_count, combined_text, is_blank, text_or_empty, word_count
-from venuelens.operators.dedup import duplicate_count
+from venuelens.operators.dedup import duplicate_digests, row_digest
 from venuelens.operators.materialize import materialize
-from venuelens.operators.quantiles import exact_quantiles
+from venuelens.operators.quantiles import GRID, column_quantiles, exact_quantiles, number, outline
 
 
 def _one_row_to_rows(df: DataFrame, records: Sequence[Column]) -> DataFrame:
@@ -41,10 +41,10 @@ def missing_profile(df: DataFrame, threshold: float = 0.3) -> DataFrame:
     )
 
 
-def overview(df: DataFrame) -> DataFrame:
-    """Columns in order with their type and the number of rows."""
+def overview(df: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """Columns in order with their type and the number of rows, counted on ``rows`` if given."""
     return _one_row_to_rows(
-        df.agg(F.count("*").alias("row_count")),
+        (df if rows is None else rows).agg(F.count("*").alias("row_count")),
         [
             F.struct(
                 F.lit(i).alias("position"),
@@ -57,45 +57,63 @@ def overview(df: DataFrame) -> DataFrame:
     )
 
 
-def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    return numbers.unpivot([], list(cols), "column_name", "value")
+SPREAD = ("count", "missing_count", "min", "max", "mean", "median", "std")
+_NUMBERS_SCHEMA = (
+    "column_name string, count bigint, missing_count bigint, min double, max double, mean double, median double,"
+    " std double, zero_count bigint, zero_share_all double, zero_share_valid double, skewness double"
+)
 
 
-def numeric_profile(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
-    """Count, missing, min, max, mean, median and sample deviation per column.
+def number_profile(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
+    """All figures of numeric columns, one row each.
 
-    ``approx=True`` takes the median from a sketch in the same single pass.
+    One pass gives everything but the exact medians, which take a few more (see ``column_quantiles``).
+    ``approx=True`` takes the medians from the sketch of that pass. The result has one row per column
+    and is built from those figures.
     """
+    df = df.select(*cols)
     measures = []
     for c in cols:
-        x = F.col(c).cast("double")
-        measures += [
-            F.count(x).alias(f"{c}__count"),
-            F.min(x).alias(f"{c}__min"),
-            F.max(x).alias(f"{c}__max"),
-            F.avg(x).alias(f"{c}__mean"),
-            F.stddev_samp(x).alias(f"{c}__std"),
-        ]
-        if approx:
-            measures.append(F.percentile_approx(x, 0.5).alias(f"{c}__median"))
-    stats = df.agg(F.count("*").alias("_rows"), *measures)
-    records = []
-    for c in cols:
-        fields = [
-            F.lit(c).alias("column_name"),
-            F.col(f"{c}__count").alias("count"),
-            (F.col("_rows") - F.col(f"{c}__count")).alias("missing_count"),
-            *[F.col(f"{c}__{m}").alias(m) for m in ("min", "max", "mean", "std")],
-        ]
-        if approx:
-            fields.append(F.col(f"{c}__median").alias("median"))
-        records.append(F.struct(*fields))
-    rows = _one_row_to_rows(stats, records)
-    if not approx:
-        medians = exact_quantiles(_long(df, cols), "value", {"median": 0.5}, ["column_name"])
-        rows = rows.join(F.broadcast(medians.drop("n")), "column_name", "left")  # one row per column
-    return rows.select("column_name", "count", "missing_count", "min", "max", "mean", "median", "std")
+        x = number(c)
+        n = F.count(x).cast("double")
+        zeros = F.count_if(x == 0)
+        measures.append(
+            F.struct(
+                (F.count("*") - F.count(x)).alias("missing"),
+                F.avg(x).alias("mean"),
+                F.stddev_samp(x).alias("std"),
+                zeros.alias("zeros"),
+                F.try_divide(zeros.cast("double"), F.count("*")).alias("share_all"),
+                F.try_divide(zeros.cast("double"), F.count(x)).alias("share_valid"),
+                F.when(n >= 3, F.skewness(x) * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))).alias("skewness"),
+                outline(x).alias("outline"),
+            ).alias(c)
+        )
+    seen = df.agg(*measures).first()
+    first = {c: seen[c]["outline"] for c in cols}
+    if approx:
+        medians = {c: first[c]["grid"][GRID // 2] if first[c]["n"] else None for c in cols}
+    else:
+        medians = {c: q["median"] for c, q in column_quantiles(df, cols, {"median": 0.5}, first).items()}
+    rows = [
+        (
+            c,
+            first[c]["n"],
+            seen[c]["missing"],
+            first[c]["low"],
+            first[c]["high"],
+            seen[c]["mean"],
+            medians[c],
+            *[seen[c][m] for m in ("std", "zeros", "share_all", "share_valid", "skewness")],
+        )
+        for c in cols
+    ]
+    return df.sparkSession.createDataFrame(rows, _NUMBERS_SCHEMA)
+
+
+def numeric_profile(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
+    """Count, missing, min, max, mean, median and sample deviation per column."""
+    return number_profile(df, cols, approx).select("column_name", *SPREAD)
 
 
 def target_profile(df: DataFrame, target: str, zero_denominator: str = "all") -> DataFrame:
@@ -105,39 +123,39 @@ def target_profile(df: DataFrame, target: str, zero_denominator: str = "all") ->
     """
     if zero_denominator not in ("all", "valid"):
         raise ValueError("zero_denominator must be 'all' or 'valid'")
-    x = F.col(target).cast("double")
-    n = F.count(x).cast("double")
-    base = F.count("*") if zero_denominator == "all" else F.count(x)
-    extra = df.agg(
-        F.count_if(x == 0).alias("zero_count"),
-        F.try_divide(F.count_if(x == 0).cast("double"), base).alias("zero_share"),
-        F.when(n >= 3, F.skewness(x) * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))).alias("skewness"),
-        F.lit(target).alias("column_name"),
+    return number_profile(df, [target]).select(
+        "column_name", *SPREAD, "zero_count", F.col(f"zero_share_{zero_denominator}").alias("zero_share"), "skewness"
     )
-    return numeric_profile(df, [target]).join(F.broadcast(extra), "column_name")  # one row each
 
 
-def text_profile(df: DataFrame, cols: Sequence[str], null_mode: str = "drop") -> DataFrame:
-    """Length in characters and words per text column, plus missing and blank texts.
+_LENGTHS = tuple(f"{m}_{s}" for m in ("chars", "words") for s in ("mean", "median", "min", "max"))
 
-    ``"drop"`` leaves NULL texts out of the lengths, ``"empty"`` measures them as empty. The texts are
-    read once: they shrink to counts per (column, measure, value), which all figures come from.
-    """
+
+def measure_texts(texts: dict[str, Column], null_mode: str = "drop") -> dict[str, Column]:
+    """Length in characters and words, missing and blank of each text, as ``<name>__<measure>``."""
     if null_mode not in ("drop", "empty"):
         raise ValueError("null_mode must be 'drop' or 'empty'")
-    records = []
-    for c in cols:
-        text = text_or_empty(F.col(c)) if null_mode == "empty" else F.col(c)
-        measures = {
-            "chars": char_count(text),
-            "words": word_count(text),
-            "missing": F.col(c).isNull().cast("bigint"),
-            "blank": F.coalesce(is_blank(text), F.lit(False)).cast("bigint"),
-        }
-        records += [
-            F.struct(F.lit(c).alias("column_name"), F.lit(m).alias("measure"), value.alias("value"))
-            for m, value in measures.items()
-        ]
+    measures = {}
+    for name, raw in texts.items():
+        text = text_or_empty(raw) if null_mode == "empty" else raw
+        measures[f"{name}__chars"] = char_count(text)
+        measures[f"{name}__words"] = word_count(text)
+        measures[f"{name}__missing"] = raw.isNull().cast("bigint")
+        measures[f"{name}__blank"] = F.coalesce(is_blank(text), F.lit(False)).cast("bigint")
+    return measures
+
+
+def measured_text_profile(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Text profile of the columns made by ``measure_texts``.
+
+    The measures shrink to counts per (column, measure, value), which all figures come from; there are
+    at most as many as there are different lengths.
+    """
+    records = [
+        F.struct(F.lit(name).alias("column_name"), F.lit(m).alias("measure"), F.col(f"{name}__{m}").alias("value"))
+        for name in names
+        for m in ("chars", "words", "missing", "blank")
+    ]
     counts = materialize(
         df.select(F.inline(F.array(*records)))
         .groupBy("column_name", "measure", "value")
@@ -163,15 +181,19 @@ def text_profile(df: DataFrame, cols: Sequence[str], null_mode: str = "drop") ->
         counts.groupBy("column_name")
         .agg(*stats)
         .join(F.broadcast(medians), "column_name", "left")  # one row per text column
-        .select(
-            "column_name",
-            "missing_count",
-            "blank_count",
-            *[f"{m}_{s}" for m in ("chars", "words") for s in ("mean", "median", "min", "max")],
-        )
+        .select("column_name", "missing_count", "blank_count", *_LENGTHS)
     )
 
 
+def text_profile(df: DataFrame, cols: Sequence[str], null_mode: str = "drop") -> DataFrame:
+    """Length in characters and words per text column, plus missing and blank texts; one pass over the texts.
+
+    ``"drop"`` leaves NULL texts out of the lengths, ``"empty"`` measures them as empty.
+    """
+    measures = measure_texts({c: F.col(c) for c in cols}, null_mode)
+    return measured_text_profile(df.select(*[m.alias(name) for name, m in measures.items()]), cols)
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str], against: str | None = None) -> DataFrame:
     """Pearson correlation of every pair of columns over the rows where both are present; one pass.
 
@@ -217,23 +239,27 @@ def category_profile(df: DataFrame, cols: Sequence[str], k: int = 10, keep_null:
     )
 
 
-def _metrics(df: DataFrame, section: str, names: Sequence[str], label: Column | None = None) -> DataFrame:
-    return df.select(
-        F.lit(section).alias("section"),
+def _metrics(df: DataFrame, section: str, names: Sequence, label: Column | None = None) -> DataFrame:
+    """Long rows (section, column_name, metric, value, label) of the named columns.
+
+    A triple (section, metric, expression) gives a row of its own where the expression is not NULL.
+    """
+    nothing = F.lit(None).cast("string")
+    record = lambda where, metric, value, text: F.struct(
+        F.lit(where).alias("section"),
         F.col("column_name"),
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(n).alias("metric"),
-                        F.col(n).cast("double").alias("value"),
-                        (label if label is not None else F.lit(None).cast("string")).alias("label"),
-                    )
-                    for n in names
-                ]
-            )
-        ),
+        F.lit(metric).alias("metric"),
+        value.cast("double").alias("value"),
+        text.alias("label"),
     )
+    records = []
+    for name in names:
+        if isinstance(name, str):
+            records.append(record(section, name, F.col(name), nothing if label is None else label))
+        else:
+            where, metric, value = name
+            records.append(F.when(value.isNotNull(), record(where, metric, value, nothing)))
+    return df.select(F.inline(F.filter(F.array(*records), lambda r: r.isNotNull())))
 
 
 def profile_report(
@@ -245,36 +271,53 @@ def profile_report(
     missing_threshold: float = 0.3,
     k: int = 10,
 ) -> DataFrame:
-    """All profiles of a review table as one long table (section, column_name, metric, value, label)."""
-    types = overview(df)
-    lost = missing_profile(df, missing_threshold)
-    goal = target_profile(df, target)
-    spread = ("count", "missing_count", "min", "max", "mean", "median", "std")
-    texts = df.select(*text)
+    """All profiles of a review table as one long table (section, column_name, metric, value, label).
+
+    The table is read once: what the profiles need of a row (numbers, categories, text measures and a
+    digest) is written as a narrow table, and every profile works on that.
+    """
+    texts = {c: F.col(c) for c in text}
     if len(text) == 2:
-        texts = texts.withColumn("combined_text", combined_text(*[F.col(c) for c in text]))
-    lengths = [f"{m}_{s}" for m in ("chars", "words") for s in ("mean", "median", "min", "max")]
-    pairs = corr_matrix(df, [*numeric, target])
-    warnings = lost.filter("mostly_missing").withColumnRenamed("missing_share", "mostly_missing_share")
-    empty_target = goal.filter("count = 0").withColumnRenamed("missing_count", "target_without_numbers")
-    gaps = goal.filter("count > 0 AND missing_count > 0").withColumnRenamed("missing_count", "target_missing")
+        texts["combined_text"] = combined_text(*texts.values())
+    marked = [F.when(F.col(c).isNotNull(), F.lit(1)).alias(c) if c in text else F.col(c) for c in df.columns]
+    measures = measure_texts(texts, "empty")
+    narrow = materialize(
+        df.select(*marked, *[m.alias(name) for name, m in measures.items()], F.unhex(row_digest(df)).alias("_digest"))
+    )
+    numbers = number_profile(narrow, [target, *numeric]).withColumnRenamed("zero_share_all", "zero_share")
+    count, missing = F.col("count"), F.col("missing_count")
+    share = F.when(F.col("mostly_missing"), F.col("missing_share"))
+    copies = duplicate_digests(narrow, "_digest").withColumn("column_name", F.lit("*"))
+    pairs = corr_matrix(narrow, [*numeric, target]).withColumnRenamed("col_a", "column_name")
     parts = [
-        _metrics(types, "overview", ["row_count"], F.col("data_type")),
-        _metrics(duplicate_count(df).withColumn("column_name", F.lit("*")), "overview", ["duplicate_rows"]),
-        _metrics(lost, "missing", ["missing_count", "missing_share"]),
-        _metrics(goal, "target", [*spread, "zero_count", "zero_share", "skewness"]),
-        _metrics(numeric_profile(df, numeric), "numeric", spread),
-        _metrics(text_profile(texts, texts.columns, "empty"), "text", ["missing_count", "blank_count", *lengths]),
-        _metrics(pairs.withColumnRenamed("col_a", "column_name"), "correlation", ["corr"], F.col("col_b")),
-        _metrics(warnings, "warning", ["mostly_missing_share"]),
-        _metrics(empty_target, "warning", ["target_without_numbers"]),
-        _metrics(gaps, "warning", ["target_missing"]),
+        _metrics(overview(df, narrow), "overview", ["row_count"], F.col("data_type")),
+        _metrics(copies, "overview", ["duplicate_rows"]),
+        _metrics(
+            missing_profile(narrow.select(*df.columns), missing_threshold),
+            "missing",
+            ["missing_count", "missing_share", ("warning", "mostly_missing_share", share)],
+        ),
+        _metrics(
+            numbers.filter(F.col("column_name") == target),
+            "target",
+            [
+                *SPREAD,
+                "zero_count",
+                "zero_share",
+                "skewness",
+                ("warning", "target_without_numbers", F.when(count == 0, missing)),
+                ("warning", "target_missing", F.when((count > 0) & (missing > 0), missing)),
+            ],
+        ),
+        _metrics(numbers.filter(F.col("column_name") != target), "numeric", SPREAD),
+        _metrics(measured_text_profile(narrow, list(texts)), "text", ["missing_count", "blank_count", *_LENGTHS]),
+        _metrics(pairs, "correlation", ["corr"], F.col("col_b")),
     ]
     if categorical:
-        values = category_profile(df, categorical, k)
-        totals = values.filter("value_rank = 1")
-        parts.append(_metrics(totals, "category", ["distinct_count", "missing_count"]))
-        parts.append(_metrics(values, "category", ["value_count"], F.coalesce("value", F.lit("<missing>"))))
+        values = category_profile(narrow, categorical, k)
+        first = lambda c: F.when(F.col("value_rank") == 1, F.col(c))
+        totals = [("category", c, first(c)) for c in ("distinct_count", "missing_count")]
+        parts.append(_metrics(values, "category", ["value_count", *totals], F.coalesce("value", F.lit("<missing>"))))
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)

@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from venuelens.operators.partitioning import spread
+
 # Titles and texts alone, for the text operators: no join is needed to measure texts.
 REVIEW_TEXTS = """
 SELECT doc_id AS row_id,
@@ -41,8 +43,13 @@ FROM {part}
 VIEWS = {"review_texts": REVIEW_TEXTS, "reviews": REVIEWS, "restaurants": RESTAURANTS}
 
 
+# Tables of long texts, whose rows are costly to work on.
+TEXT_TABLES = ("documents", "pages")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    scan = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(scan) if name in TEXT_TABLES else scan
 
 
 def _view(spark: SparkSession, folder: str, text: str) -> DataFrame:
