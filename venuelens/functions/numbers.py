@@ -46,4 +46,4 @@ def log_target(c: Column) -> Column:
 
 def unlog_target(c: Column) -> Column:
     """Back from the log scale, negative predictions clipped to zero."""
-    return F.greatest(F.expm1(c), F.lit(0.0))
+    return F.when(c.isNotNull(), F.greatest(F.expm1(c), F.lit(0.0)))

@@ -6,8 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from venuelens.operators.bins import add_bin, default_parts, find_ranges
-from venuelens.operators.quantiles import exact_quantiles
+from venuelens.operators.bins import add_bin
+from venuelens.operators.quantiles import collapse, count_ranges, quantiles_of_counts
 
 
 @dataclass(frozen=True)
@@ -109,10 +109,10 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     Rows collapse to (group, value, count) before they meet the quartiles. That join carries a value
     bin in its key, so the distinct values of one large group are still spread over many tasks.
     """
-    present = df.select(group, F.col(value).cast("double").alias("_v")).dropna()
-    ranges = find_ranges(present, {"v": "_v"}, default_parts(df))["v"]
-    quartiles = exact_quantiles(present, "_v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, [group], ranges=ranges)
-    counts = add_bin(present.groupBy(group, "_v").agg(F.count("*").alias("_w")), "_v", ranges, "_bin")
+    collapsed = collapse(df, value, [group])
+    ranges = count_ranges(collapsed)
+    quartiles = quantiles_of_counts(collapsed, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [group], ranges)
+    counts = add_bin(collapsed, "_v", ranges, "_bin")
     bins = [F.lit(i) for i in range(len(ranges.cuts) + 1)]
     fences = quartiles.withColumn("_bin", F.explode(F.array(*bins)))
     reach = 1.5 * (F.col("q3") - F.col("q1"))

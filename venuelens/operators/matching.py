@@ -12,7 +12,7 @@ from venuelens.functions.text import bare_name, squeeze_name
 def similarity(a: Column, b: Column) -> Column:
     """1 for equal texts, 0 when every character differs."""
     longest = F.greatest(F.char_length(a), F.char_length(b))
-    return F.coalesce(F.try_divide(longest - F.levenshtein(a, b), longest), F.lit(1.0)).cast("double")
+    return F.when(longest == 0, 1.0).otherwise(F.try_divide(longest - F.levenshtein(a, b), longest)).cast("double")
 
 
 def match_values(df: DataFrame, col: str, dictionary: Sequence[str], cutoff: float = 0.6) -> DataFrame:

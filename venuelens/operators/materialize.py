@@ -29,11 +29,17 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write a frame to Parquet once and read it back.
 
     Later passes then prune columns and survive lost executors. Without a shared folder the frame is
-    returned as it is: the passes recompute it, with the same result.
+    returned as it is: the passes recompute it, with the same result. The table lives as long as the session.
     """
     folder = shared_folder(df.sparkSession)
     if folder is None:
         return df
     path = f"{folder.rstrip('/')}/venuelens-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _delete_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _delete_at_exit(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)

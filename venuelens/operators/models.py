@@ -40,14 +40,26 @@ def _number(x: float) -> str:
     return f"CAST({x!r} AS DOUBLE)"
 
 
-def _numeric_stage(df: DataFrame, cols: Sequence[str], scaled: bool) -> tuple[SQLTransformer, list[str]]:
-    """Median imputation, and scaling if wanted, as one SQL projection that can be saved with the model."""
+@dataclass(frozen=True)
+class NumericFit:
+    """Median per numeric column, and mean and deviation after imputation."""
+
+    medians: dict[str, float]
+    scaling: dict[str, tuple[float, float]]
+
+
+def fit_numeric(df: DataFrame, cols: Sequence[str]) -> NumericFit:
     medians = fit_medians(df, cols)
-    scaling = fit_scaling(impute(df.select(*cols), medians), cols) if scaled else {c: (0.0, 1.0) for c in cols}
-    parts = [
-        f"(coalesce(CAST(`{c}` AS DOUBLE), {_number(medians[c])}) - {_number(mean)}) / {_number(std)} AS `{c}__x`"
-        for c, (mean, std) in scaling.items()
-    ]
+    return NumericFit(medians, fit_scaling(impute(df.select(*cols), medians), cols))
+
+
+def _numeric_stage(fitted: NumericFit, cols: Sequence[str], scaled: bool) -> tuple[SQLTransformer, list[str]]:
+    """Median imputation, and scaling if wanted, as one SQL projection that can be saved with the model."""
+    parts = []
+    for c in cols:
+        filled = f"coalesce(CAST(`{c}` AS DOUBLE), {_number(fitted.medians[c])})"
+        mean, std = fitted.scaling[c]
+        parts.append(f"({filled} - {_number(mean)}) / {_number(std)} AS `{c}__x`" if scaled else f"{filled} AS `{c}__x`")
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__"), [f"{c}__x" for c in cols]
 
 
@@ -84,15 +96,15 @@ def _apply(stages: Sequence, df: DataFrame) -> DataFrame:
     return df
 
 
-def feature_stages(df: DataFrame, spec: FeatureSpec, scaled: bool) -> list:
-    """Fitted stages that end in the vector column ``features``."""
+def feature_stages(df: DataFrame, spec: FeatureSpec, scaled: bool, numeric: NumericFit | None = None) -> list:
+    """Fitted stages that end in the vector column ``features``; ``numeric`` may come from an earlier fit."""
     stages, inputs = [], []
     if spec.text:
         more, name = _text_stages(df, spec.text)
         stages += more
         inputs.append(name)
     if spec.numeric:
-        stage, names = _numeric_stage(df, spec.numeric, scaled)
+        stage, names = _numeric_stage(numeric or fit_numeric(df, spec.numeric), spec.numeric, scaled)
         stages.append(stage)
         inputs += names
     if spec.categorical:
@@ -102,17 +114,26 @@ def feature_stages(df: DataFrame, spec: FeatureSpec, scaled: bool) -> list:
     return [*stages, VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error")]
 
 
-def fit_mean(df: DataFrame, spec: FeatureSpec, label: str = "label") -> PipelineModel:
+def fit_mean(
+    df: DataFrame, spec: FeatureSpec, label: str = "label", numeric: NumericFit | None = None
+) -> PipelineModel:
+    """The mean of the label for every row."""
     mean = df.agg(F.avg(label)).first()[0]
     return PipelineModel([SQLTransformer(statement=f"SELECT *, {_number(mean)} AS prediction FROM __THIS__")])
 
 
-def fit_ridge(df: DataFrame, spec: FeatureSpec, label: str = "label", alpha: float = 1.0) -> PipelineModel:
+def fit_ridge(
+    df: DataFrame,
+    spec: FeatureSpec,
+    label: str = "label",
+    alpha: float = 1.0,
+    numeric: NumericFit | None = None,
+) -> PipelineModel:
     """Ridge regression: squared error plus ``alpha`` times the squared weights, intercept free.
 
     Spark divides the error by n and measures the penalty on a label of unit deviation, hence the factor.
     """
-    stages = feature_stages(df, spec, scaled=True)
+    stages = feature_stages(df, spec, True, numeric)
     size = df.agg(F.count(label).alias("n"), F.stddev_pop(F.col(label).cast("double")).alias("std")).first()
     ridge = LinearRegression(
         labelCol=label,
@@ -124,9 +145,15 @@ def fit_ridge(df: DataFrame, spec: FeatureSpec, label: str = "label", alpha: flo
     return PipelineModel([*stages, ridge.fit(_apply(stages, df).select("features", label))])
 
 
-def fit_forest(df: DataFrame, spec: FeatureSpec, label: str = "label", trees: int = 30) -> PipelineModel:
+def fit_forest(
+    df: DataFrame,
+    spec: FeatureSpec,
+    label: str = "label",
+    trees: int = 30,
+    numeric: NumericFit | None = None,
+) -> PipelineModel:
     """Random forest of depth 12 with at least five rows per leaf and all features at every split."""
-    stages = feature_stages(df, spec, scaled=False)
+    stages = feature_stages(df, spec, False, numeric)
     forest = RandomForestRegressor(
         labelCol=label,
         numTrees=trees,
@@ -139,7 +166,7 @@ def fit_forest(df: DataFrame, spec: FeatureSpec, label: str = "label", trees: in
     return PipelineModel([*stages, forest.fit(_apply(stages, df).select("features", label))])
 
 
-Fit = Callable[[DataFrame, FeatureSpec], PipelineModel]
+Fit = Callable[..., PipelineModel]
 
 
 def candidates(spec: FeatureSpec) -> dict[str, tuple[Fit, FeatureSpec]]:
@@ -174,12 +201,15 @@ def compare_models(
     """Metrics per model on the test rows, and the error text of each model that failed.
 
     The loop is over a handful of candidates. Every candidate is fitted and scored in its own attempt,
-    so one failure does not stop the others.
+    so one failure does not stop the others. Candidates with the same numeric columns share their
+    medians and scaling.
     """
-    scored, errors = [], {}
+    scored, errors, numeric = [], {}, {}
     for name, (fit, spec) in models.items():
         try:
-            model = fit(train, spec)
+            if spec.numeric not in numeric:
+                numeric[spec.numeric] = fit_numeric(train, spec.numeric)
+            model = fit(train, spec, numeric=numeric[spec.numeric])
             rows = score(model, test, [key, target, "label"]).withColumn("model_name", F.lit(name))
             scored.append(materialize(rows))
         except Exception as error:  # any candidate may fail for its own reason

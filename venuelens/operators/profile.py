@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from venuelens.functions.text import char_count, combined_text, is_blank, text_or_empty, word_count
 from venuelens.operators.dedup import duplicate_digests, row_digest
 from venuelens.operators.materialize import materialize
-from venuelens.operators.quantiles import GRID, column_quantiles, exact_quantiles, number, outline
+from venuelens.operators.quantiles import column_quantiles, distinct_bound, number, quantiles_of_counts
 
 
 def _one_row_to_rows(df: DataFrame, records: Sequence[Column]) -> DataFrame:
@@ -67,8 +67,8 @@ _NUMBERS_SCHEMA = (
 def number_profile(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """All figures of numeric columns, one row each.
 
-    One pass gives everything but the exact medians, which take a few more (see ``column_quantiles``).
-    ``approx=True`` takes the medians from the sketch of that pass. The result has one row per column
+    One pass gives everything but the exact medians, which take another (see ``column_quantiles``).
+    ``approx=True`` sketches the medians in the same pass. The result has one row per column
     and is built from those figures.
     """
     df = df.select(*cols)
@@ -86,28 +86,20 @@ def number_profile(df: DataFrame, cols: Sequence[str], approx: bool = False) ->
                 F.try_divide(zeros.cast("double"), F.count("*")).alias("share_all"),
                 F.try_divide(zeros.cast("double"), F.count(x)).alias("share_valid"),
                 F.when(n >= 3, F.skewness(x) * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))).alias("skewness"),
-                outline(x).alias("outline"),
+                F.count(x).alias("n"),
+                F.min(x).alias("low"),
+                F.max(x).alias("high"),
+                (F.percentile_approx(x, 0.5) if approx else distinct_bound(x)).alias("last"),
             ).alias(c)
         )
     seen = df.agg(*measures).first()
-    first = {c: seen[c]["outline"] for c in cols}
     if approx:
-        medians = {c: first[c]["grid"][GRID // 2] if first[c]["n"] else None for c in cols}
+        medians = {c: seen[c]["last"] for c in cols}
     else:
-        medians = {c: q["median"] for c, q in column_quantiles(df, cols, {"median": 0.5}, first).items()}
-    rows = [
-        (
-            c,
-            first[c]["n"],
-            seen[c]["missing"],
-            first[c]["low"],
-            first[c]["high"],
-            seen[c]["mean"],
-            medians[c],
-            *[seen[c][m] for m in ("std", "zeros", "share_all", "share_valid", "skewness")],
-        )
-        for c in cols
-    ]
+        found = column_quantiles(df, cols, {"median": 0.5}, {c: seen[c]["last"] for c in cols})
+        medians = {c: found[c]["median"] for c in cols}
+    order = ("n", "missing", "low", "high", "mean", "median", "std", "zeros", "share_all", "share_valid", "skewness")
+    rows = [(c, *[medians[c] if m == "median" else seen[c][m] for m in order]) for c in cols]
     return df.sparkSession.createDataFrame(rows, _NUMBERS_SCHEMA)
 
 
@@ -171,9 +163,11 @@ def measured_text_profile(df: DataFrame, names: Sequence[str]) -> DataFrame:
             F.min(of(m, F.col("value"))).alias(f"{m}_min"),
             F.max(of(m, F.col("value"))).alias(f"{m}_max"),
         ]
-    lengths = counts.filter(F.col("measure").isin("chars", "words"))
+    lengths = counts.filter(F.col("measure").isin("chars", "words") & F.col("value").isNotNull()).select(
+        "column_name", "measure", F.col("value").cast("double").alias("_v"), F.col("row_count").alias("_w")
+    )
     medians = (
-        exact_quantiles(lengths, "value", {"median": 0.5}, ["column_name", "measure"], "row_count")
+        quantiles_of_counts(lengths, {"median": 0.5}, ["column_name", "measure"])
         .groupBy("column_name")
         .agg(*[F.max(of(m, F.col("median"))).alias(f"{m}_median") for m in ("chars", "words")])
     )

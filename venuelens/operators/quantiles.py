@@ -9,33 +9,40 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from venuelens.operators.bins import Ranges, add_bin, default_parts, find_ranges
+from venuelens.operators.materialize import materialize
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: Mapping[str, float],
-    groups: Sequence[str] = (),
-    weight: str | None = None,
-    parts: int | None = None,
-    ranges: Ranges | None = None,
-) -> DataFrame:
-    """One row per group: ``n`` and a double column for every entry of ``probs``.
+def collapse(df: DataFrame, value: str, groups: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """Rows per (group, value) as (groups, ``_v``, ``_w``), written once because several steps read them.
 
-    Rows are collapsed to (group, value, weight). The value range is cut into bins of about equal depth;
-    the bin totals of a group give every bin its offset, so that running counts are formed inside
-    (group, bin) cells that are small even when one group holds most of the rows. Quantiles
-    interpolate linearly. NULL values and NULL groups are left out.
+    NULL values and NULL groups are left out.
     """
-    groups = list(groups)
-    present = df.dropna(subset=[value, *groups])
-    ranges = ranges or find_ranges(present, {"v": value}, parts or default_parts(df))["v"]
     amount = F.count("*") if weight is None else F.sum(weight)
-    counts = present.groupBy(*groups, F.col(value).cast("double").alias("_v")).agg(amount.cast("bigint").alias("_w"))
-    binned = add_bin(counts, "_v", ranges, "_bin")
+    counts = (
+        df.dropna(subset=[value, *groups])
+        .groupBy(*groups, F.col(value).cast("double").alias("_v"))
+        .agg(amount.cast("bigint").alias("_w"))
+    )
+    return materialize(counts)
 
+
+def count_ranges(counts: DataFrame, parts: int | None = None) -> Ranges:
+    """Value ranges that hold about equally many collapsed rows of all groups together."""
+    return find_ranges(counts, {"v": "_v"}, parts or default_parts(counts))["v"]
+
+
+def quantiles_of_counts(
+    counts: DataFrame, probs: Mapping[str, float], groups: Sequence[str] = (), ranges: Ranges | None = None
+) -> DataFrame:
+    """Quantiles of collapsed rows (see ``collapse``): one row per group with ``n`` and a column per entry.
+
+    The bin totals of a group give every bin its offset, so running counts are formed inside
+    (group, bin) cells, which are small even when one group holds most of the rows.
+    """
+    groups = list(groups)
+    binned = add_bin(counts, "_v", ranges or count_ranges(counts), "_bin")
     cell = [*groups, "_bin"]
-    whole = Window.partitionBy(*(groups or [F.lit(0)]))
+    whole = Window.partitionBy(*groups)
     before = whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     cells = (
         binned.groupBy(*cell)
@@ -58,7 +65,7 @@ def exact_quantiles(
         place = F.lit(float(prob)) * (F.col("n") - 1)
         picks.append(F.min(F.when(F.col("_upto") > F.floor(place), F.col("_v"))).alias(f"_low_{name}"))
         picks.append(F.min(F.when(F.col("_upto") > F.ceil(place), F.col("_v"))).alias(f"_high_{name}"))
-    picked = (running.groupBy(*groups) if groups else running).agg(*picks)
+    picked = running.groupBy(*groups).agg(*picks)
 
     columns = [*[F.col(g) for g in groups], F.col("n")]
     for name, prob in probs.items():
@@ -68,8 +75,21 @@ def exact_quantiles(
     return picked.select(*columns)
 
 
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    probs: Mapping[str, float],
+    groups: Sequence[str] = (),
+    weight: str | None = None,
+    parts: int | None = None,
+) -> DataFrame:
+    """Exact, linearly interpolated quantiles per group, for any number of groups of any size."""
+    counts = collapse(df, value, groups, weight)
+    return quantiles_of_counts(counts, probs, groups, count_ranges(counts, parts))
+
+
 SMALL = 50_000  # values one aggregation buffer may hold
-GRID = 1000
+GRID = 200
 _STEPS = "array(" + ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1)) + ")"
 _SKETCH_ERROR = 1e-4  # share of the rows by which a rank of the sketch may be off
 
@@ -79,7 +99,12 @@ def number(c: str) -> Column:
     return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
 
 
-def outline(x: Column) -> Column:
+def distinct_bound(x: Column) -> Column:
+    """Sketched number of distinct values, or the number of values if that is smaller."""
+    return F.least(F.count(x), F.approx_count_distinct(x))
+
+
+def _outline(x: Column) -> Column:
     """What a pass must tell about values to look for quantiles among them."""
     return F.struct(
         F.count(x).alias("n"), F.min(x).alias("low"), F.max(x).alias("high"), F.percentile_approx(x, F.expr(_STEPS)).alias("grid")
@@ -97,7 +122,7 @@ class _Search:
     high: float
     grid: list[float]
     below: int = 0
-    margin: int = 2
+    margin: int = 1
     value: float | None = None
 
     def bounds(self) -> tuple[float, float]:
@@ -122,27 +147,23 @@ class _Search:
                 self.value = seen[f"at_{self.rank}"]
             else:
                 self.n, self.low, self.high, self.grid = inner["n"], inner["low"], inner["high"], inner["grid"]
-                self.below, self.margin = seen["below"] + seen["at_low"], 2
+                self.below, self.margin = seen["below"] + seen["at_low"], 1
         elif low < high and 0 <= k - inner["n"] < seen["at_high"]:
             self.value = high
         else:
             self.margin *= 8
 
 
-def column_quantiles(
-    df: DataFrame, cols: Sequence[str], probs: Mapping[str, float], first: Mapping[str, Row] | None = None
-) -> dict[str, dict[str, float | None]]:
-    """Exact interpolated quantiles of whole columns, without a shuffle of values.
+def _search(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float]) -> dict[str, dict[str, float]]:
+    """Quantiles of columns with very many values, without a shuffle of values.
 
     Every pass counts what lies below and between the bounds of each searched rank and sketches the
-    inside, which leaves about one candidate in 200. Once the candidates fit a buffer of ``SMALL``
-    values the rank is read off; only single values and sketches of fixed size reach the driver. Nine
-    million rows take two passes, 10^12 rows five. ``first`` holds the ``outline`` of every
-    column where the caller already has it.
+    inside, which leaves about one candidate in 70. Once the candidates fit a buffer of ``SMALL``
+    values the rank is read off; only single values and sketches of fixed size reach the driver.
+    Three million rows take two passes, 10^12 rows five.
     """
-    if first is None:
-        first = df.agg(*[outline(number(c)).alias(c) for c in cols]).first()
-    places = {c: {q: p * (first[c]["n"] - 1) for q, p in probs.items()} for c in cols if first[c]["n"]}
+    first = df.agg(*[_outline(number(c)).alias(c) for c in cols]).first()
+    places = {c: {q: p * (first[c]["n"] - 1) for q, p in probs.items()} for c in cols}
     searches = {
         (c, rank): _Search(c, rank, first[c]["n"], first[c]["low"], first[c]["high"], first[c]["grid"])
         for c, spots in places.items()
@@ -164,15 +185,39 @@ def column_quantiles(
                 parts.append(F.struct(F.count(inner).alias("n")).alias("inner"))
                 parts += [F.get(values, (F.lit(s.rank) - below - at_low).cast("int")).alias(f"at_{s.rank}") for s in members]
             else:
-                parts.append(outline(inner).alias("inner"))
+                parts.append(_outline(inner).alias("inner"))
             measures.append(F.struct(*parts).alias(f"range_{i}"))
         row = df.agg(*measures).first()
         for i, ((_, low, high, _), members) in enumerate(ranges.items()):
             for s in members:
                 s.learn(row[f"range_{i}"], low, high)
-    result: dict[str, dict[str, float | None]] = {c: dict.fromkeys(probs) for c in cols}
+    result: dict[str, dict[str, float]] = {c: {} for c in cols}
     for c, spots in places.items():
         for q, spot in spots.items():
             low, high = searches[c, math.floor(spot)].value, searches[c, math.ceil(spot)].value
             result[c][q] = low + (high - low) * (spot - math.floor(spot))
     return result
+
+
+def column_quantiles(
+    df: DataFrame, cols: Sequence[str], probs: Mapping[str, float], distinct: Mapping[str, int] | None = None
+) -> dict[str, dict[str, float | None]]:
+    """Exact interpolated quantiles of whole columns.
+
+    Spark's exact percentile keeps a count per distinct value in memory. It is used, for all columns in
+    one pass, where the checked number of distinct values is at most ``SMALL``; other columns are
+    searched. ``distinct`` holds the ``distinct_bound`` of every column where the caller has it.
+    """
+    if distinct is None:
+        distinct = df.agg(*[distinct_bound(number(c)).alias(c) for c in cols]).first().asDict()
+    result: dict[str, dict[str, float | None]] = {c: dict.fromkeys(probs) for c in cols}
+    few = [c for c in cols if 0 < distinct[c] <= SMALL]
+    many = [c for c in cols if distinct[c] > SMALL]
+    if few:
+        asked = F.array(*[F.lit(float(p)) for p in probs.values()])
+        row = df.agg(*[F.percentile(number(c), asked).alias(c) for c in few]).first()
+        for c in few:
+            result[c] = dict(zip(probs, row[c]))
+    if many:
+        result.update(_search(df, many, probs))
+    return result

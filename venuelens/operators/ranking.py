@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from venuelens.operators.bins import add_bin, default_parts, find_ranges
 
@@ -60,20 +60,18 @@ def add_positions(
     )
     # Without groups the cell table has at most parts * parts rows whatever the data.
     placed = with_cell(df).join(cells if groups else F.broadcast(cells), cell, "left")
+    # Both windows read one sort: the order by (value, key) is also an order by value.
     order = Window.partitionBy(*cell).orderBy(value, key)
-    same = Window.partitionBy(*cell, value)
+    peers = Window.partitionBy(*cell).orderBy(value)
     return (
         placed.withColumn("rank_ordinal", F.col("_before") + F.row_number().over(order))
+        .withColumn("_less", F.col("_before") + F.rank().over(peers) - 1)
+        .withColumn("_ties", F.count("*").over(peers.rangeBetween(Window.currentRow, Window.currentRow)))
+        .withColumn("rank_less", F.when(single, F.col("_bin_before")).otherwise(F.col("_less")))
         .withColumn(
-            "rank_less", F.when(single, F.col("_bin_before")).otherwise(F.min("rank_ordinal").over(same) - 1)
+            "rank_ties", F.when(F.col("rank_n").isNotNull(), F.when(single, F.col("_bin_rows")).otherwise(F.col("_ties")))
         )
-        .withColumn(
-            "rank_ties",
-            F.when(F.col("rank_n").isNull(), F.lit(None))
-            .when(single, F.col("_bin_rows"))
-            .otherwise(F.count("*").over(same)),
-        )
-        .drop("_bin", "_sub", "_before", "_bin_before", "_bin_rows")
+        .drop("_bin", "_sub", "_before", "_bin_before", "_bin_rows", "_less", "_ties")
     )
 
 
@@ -93,11 +91,15 @@ def add_predicted_ranks(df: DataFrame, value: str, key: str, parts: int | None =
     )
 
 
+def decile_size() -> Column:
+    """Rows in the top tenth, at least one."""
+    return F.greatest(F.lit(1), F.floor(F.col("rank_n") / 10))
+
+
 def top_decile(df: DataFrame, score: str, key: str, groups: Sequence[str] = (), parts: int | None = None) -> DataFrame:
     """The tenth of the rows with the highest score, at least one row; ties go to the highest key."""
-    size = F.greatest(F.lit(1), F.floor(F.col("rank_n") / 10))
     return (
         add_positions(df, score, key, groups, parts)
-        .filter(F.col("rank_ordinal") > F.col("rank_n") - size)
+        .filter(F.col("rank_ordinal") > F.col("rank_n") - decile_size())
         .drop(*RANK_COLUMNS)
     )

@@ -348,14 +348,14 @@ def predicted_percentile(spark, folder):
 
 # A stand-in prediction for the metrics: a fixed function of the event's user.
 GUESS = "18 + (user_id * 7) % 82"
-PAIRS = f"pairs AS (SELECT event_id, floor(value / 30) AS y, CAST({GUESS} AS DOUBLE) / 20 AS p FROM events)"
+PAIRS = f"pairs AS (SELECT event_id, floor(value / 30) AS y, CAST({GUESS} AS DOUBLE) / 17 AS p FROM events)"
 
 
 def _pairs(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         "event_id",
         F.floor(F.col("value") / 30).cast("double").alias("y"),
-        (F.expr(GUESS).cast("double") / 20).alias("p"),
+        (F.expr(GUESS).cast("double") / 17).alias("p"),
     )
 
 
