@@ -196,7 +196,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], against: str | None = None)
     pairs = [p for p in combinations(cols, 2) if against is None or p[0] == against]
     measures = []
     for i, (a, b) in enumerate(pairs):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        x, y = number(a), number(b)
         both = x.isNotNull() & y.isNotNull()
         spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
         measures.append(F.try_divide(F.covar_pop(x, y), spread).alias(f"r{i}"))
