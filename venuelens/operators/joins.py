@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from venuelens.operators.materialize import materialize
+
 BROADCAST_ROWS = 200_000
 
 
@@ -14,8 +16,10 @@ def join_lookup(
 ) -> DataFrame:
     """Join with a narrow lookup: broadcast when counted small, shuffle join otherwise.
 
-    The count stops at ``max_rows + 1``. Beyond it, adaptive execution splits hot keys of the row side
-    (left, left-semi and left-anti joins all allow that).
+    The lookup is written once, so that counting it does not compute it a second time. Beyond
+    ``max_rows``, adaptive execution splits hot keys of the row side (left, left-semi and left-anti
+    joins all allow that).
     """
+    lookup = materialize(lookup)
     small = lookup.limit(max_rows + 1).count() <= max_rows
     return rows.join(F.broadcast(lookup) if small else lookup, list(on), how)

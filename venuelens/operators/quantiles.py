@@ -91,7 +91,7 @@ def exact_quantiles(
 SMALL = 50_000  # values one aggregation buffer may hold
 GRID = 200
 _STEPS = "array(" + ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1)) + ")"
-_SKETCH_ERROR = 1e-4  # share of the rows by which a rank of the sketch may be off
+_ACCURACY = 2000  # the rank of a sketched value is off by at most one row in so many
 
 
 def number(c: str) -> Column:
@@ -107,7 +107,10 @@ def distinct_bound(x: Column) -> Column:
 def _outline(x: Column) -> Column:
     """What a pass must tell about values to look for quantiles among them."""
     return F.struct(
-        F.count(x).alias("n"), F.min(x).alias("low"), F.max(x).alias("high"), F.percentile_approx(x, F.expr(_STEPS)).alias("grid")
+        F.count(x).alias("n"),
+        F.min(x).alias("low"),
+        F.max(x).alias("high"),
+        F.percentile_approx(x, F.expr(_STEPS), _ACCURACY).alias("grid"),
     )
 
 
@@ -133,7 +136,7 @@ class _Search:
 
     def fits(self) -> bool:
         """Whether what lies between the bounds surely fits a buffer."""
-        share = (2 * self.margin + 1) / GRID + 2 * _SKETCH_ERROR
+        share = (2 * self.margin + 1) / GRID + 2 / _ACCURACY
         return self.n <= SMALL or self.n * share <= SMALL
 
     def learn(self, seen: Row, low: float, high: float) -> None:
@@ -204,9 +207,9 @@ def column_quantiles(
 ) -> dict[str, dict[str, float | None]]:
     """Exact interpolated quantiles of whole columns.
 
-    Spark's exact percentile keeps a count per distinct value in memory. It is used, for all columns in
-    one pass, where the checked number of distinct values is at most ``SMALL``; other columns are
-    searched. ``distinct`` holds the ``distinct_bound`` of every column where the caller has it.
+    Columns whose checked number of distinct values is at most ``SMALL`` shrink to counts per value, all
+    in one pass, and Spark's exact percentile reads those; other columns are searched. ``distinct``
+    holds the ``distinct_bound`` of every column where the caller has it.
     """
     if distinct is None:
         distinct = df.agg(*[distinct_bound(number(c)).alias(c) for c in cols]).first().asDict()
@@ -215,9 +218,15 @@ def column_quantiles(
     many = [c for c in cols if distinct[c] > SMALL]
     if few:
         asked = F.array(*[F.lit(float(p)) for p in probs.values()])
-        row = df.agg(*[F.percentile(number(c), asked).alias(c) for c in few]).first()
-        for c in few:
-            result[c] = dict(zip(probs, row[c]))
+        counts = (
+            df.select(*[number(c).alias(c) for c in few])
+            .unpivot([], few, "column_name", "value")
+            .filter("value IS NOT NULL")
+            .groupBy("column_name", "value")
+            .agg(F.count("*").alias("row_count"))
+        )
+        for row in counts.groupBy("column_name").agg(F.percentile("value", asked, F.col("row_count")).alias("found")).collect():
+            result[row["column_name"]] = dict(zip(probs, row["found"]))
     if many:
         result.update(_search(df, many, probs))
     return result
