@@ -14,6 +14,10 @@ def row_digest(df: DataFrame) -> Column:
         value = F.col(field.name)
         if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
             value = value + F.lit(0.0)  # -0.0 and 0.0 are the same value
+        elif isinstance(field.dataType, T.TimestampType):
+            value = F.unix_micros(value)  # JSON would keep milliseconds only
+        elif isinstance(field.dataType, T.TimestampNTZType):
+            value = value.cast("string")
         fields.append(value.alias(field.name))
     return F.sha2(F.to_json(F.struct(*fields)), 256)
 

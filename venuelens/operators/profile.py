@@ -85,7 +85,9 @@ def number_profile(df: DataFrame, cols: Sequence[str], approx: bool = False) ->
                 zeros.alias("zeros"),
                 F.try_divide(zeros.cast("double"), F.count("*")).alias("share_all"),
                 F.try_divide(zeros.cast("double"), F.count(x)).alias("share_valid"),
-                F.when(n >= 3, F.skewness(x) * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))).alias("skewness"),
+                F.when(
+                    n >= 3, F.coalesce(F.skewness(x) * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0)), F.lit(0.0))
+                ).alias("skewness"),
                 F.count(x).alias("n"),
                 F.min(x).alias("low"),
                 F.max(x).alias("high"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from venuelens.operators.bins import add_bin, default_parts, find_ranges
 
@@ -29,7 +29,9 @@ def add_positions(
     groups = list(groups)
     parts = parts or default_parts(df)
     ranges = find_ranges(base, {"v": value, "k": key}, parts)
-    single = F.col("_bin").isin(*ranges["v"].single) if ranges["v"].single else F.lit(False)
+    # Different decimals may be the same double, so their ranges are never taken for one value.
+    alone = () if isinstance(df.schema[value].dataType, T.DecimalType) else ranges["v"].single
+    single = F.col("_bin").isin(*alone) if alone else F.lit(False)
 
     def with_cell(frame: DataFrame) -> DataFrame:
         binned = add_bin(add_bin(frame, value, ranges["v"], "_bin"), key, ranges["k"], "_sub")

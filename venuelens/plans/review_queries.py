@@ -5,21 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from venuelens.functions import numbers as nm, text as tx
-from venuelens.operators import categories as ct, evaluate as ev, features as ft, filters as fl, models as ml
+from venuelens.operators import categories as ct, distribution as ds, evaluate as ev, features as ft, filters as fl, models as ml
 from venuelens.operators import profile as pf, ranking as rk
 from venuelens.plans.bridge import review_texts, reviews, table
 from venuelens.plans.registry import query
 from venuelens.plans.review_pipeline import NUMERIC, prepare_reviews, run_models
+from venuelens.plans.venue_queries import binned_sql, r6, rounded_bins
 
 FILLED = ["clothing_id", "division_name", "department_name", "class_name"]
 # The prose of the supplied texts has no clothing words; these stand in as keyword lists.
 COMMON, MORE, FRENCH = ["the", "and", "with"], ["of", "that", "was"], ["les", "une", "que"]
 
 
-def r6(name: str):
-    return F.round(F.col(name), 6).alias(name)
-
-
 @query("SELECT * FROM reviews")
 def reviews_scan(spark, folder):
     return reviews(spark, folder)
@@ -233,6 +230,30 @@ def target_by_rating(spark, folder):
     return means.select("rating", r6("mean_target"))
 
 
+@query("WITH " + binned_sql("reviews", "age", "positive_feedback_count", 20))
+def target_by_age(spark, folder):
+    return rounded_bins(ds.binned_mean(reviews(spark, folder), "age", "positive_feedback_count", 20))
+
+
+@query("WITH measured AS (SELECT length(coalesce(review_text, '')) AS chars, positive_feedback_count AS target FROM reviews), "
+       + binned_sql("measured", "chars", "target", 20))
+def target_by_review_length(spark, folder):
+    measured = reviews(spark, folder).select(
+        tx.char_count(tx.text_or_empty(F.col("review_text"))).alias("chars"), F.col("positive_feedback_count").alias("target")
+    )
+    return rounded_bins(ds.binned_mean(ml.materialize(measured), "chars", "target", 20))
+
+
+PAIRED = ["age", "rating", "recommended_ind", "positive_feedback_count"]
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS corr FROM reviews"
+    for i, a in enumerate(PAIRED) for b in PAIRED[i + 1:]))
+def review_correlations(spark, folder):
+    return pf.corr_matrix(reviews(spark, folder), PAIRED).select("col_a", "col_b", r6("corr"))
+
+
 def _words_sql(text: str, words: list[str]) -> str:
     listed = ", ".join(f"'{w}'" for w in words)
     return (

@@ -374,17 +374,25 @@ def histogram(spark, folder):
     return bars.select("bin", r6("lower"), r6("upper"), "row_count")
 
 
-@query(f"""WITH axis AS ({_axis('lineitem', 'l_quantity', 20)}),
-guessed AS (SELECT l_quantity AS x, l_extendedprice AS y,
- CAST(greatest(ceil((l_quantity - lo) / (hi - lo) * 20) - 1, 0) AS BIGINT) AS g FROM lineitem, axis),
-counted AS (SELECT g - CAST(x <= lo + g * w AND g > 0 AS INT) + CAST(x > lo + (g + 1) * w AND g < 19 AS INT) AS bin,
+def binned_sql(source: str, x: str, y: str, bins: int) -> str:
+    both = f"{x} IS NOT NULL AND {y} IS NOT NULL"
+    return f"""axis AS ({_axis(source, x, bins, both)}),
+guessed AS (SELECT CAST({x} AS DOUBLE) AS x, {y} AS y,
+ CAST(greatest(ceil(({x} - lo) / (hi - lo) * {bins}) - 1, 0) AS BIGINT) AS g FROM {source}, axis WHERE {both}),
+counted AS (SELECT g - CAST(x <= lo + g * w AND g > 0 AS INT) + CAST(x > lo + (g + 1) * w AND g < {bins - 1} AS INT) AS bin,
  count(*) AS c, avg(y) AS m FROM guessed, axis GROUP BY 1)
 SELECT b.bin, round(lo + b.bin * w, 6) AS lower, round(lo + (b.bin + 1) * w, 6) AS upper, coalesce(c, 0) AS row_count,
  round(m, 6) AS mean
-FROM (SELECT unnest(range(20)) AS bin) b CROSS JOIN axis LEFT JOIN counted ON counted.bin = b.bin""")
+FROM (SELECT unnest(range({bins})) AS bin) b CROSS JOIN axis LEFT JOIN counted ON counted.bin = b.bin"""
+
+
+def rounded_bins(df: DataFrame) -> DataFrame:
+    return df.select("bin", r6("lower"), r6("upper"), "row_count", r6("mean"))
+
+
+@query("WITH " + binned_sql("lineitem", "l_quantity", "l_extendedprice", 20))
 def binned_mean(spark, folder):
-    bars = ds.binned_mean(table(spark, folder, "lineitem"), "l_quantity", "l_extendedprice", 20)
-    return bars.select("bin", r6("lower"), r6("upper"), "row_count", r6("mean"))
+    return rounded_bins(ds.binned_mean(table(spark, folder, "lineitem"), "l_quantity", "l_extendedprice", 20))
 
 
 @query(f"""WITH ax AS ({_axis('lineitem', 'l_quantity', 25)}), ay AS ({_axis('lineitem', 'l_extendedprice', 40)}),

@@ -22,4 +22,4 @@ def write_predictions(df: DataFrame, path: str, *copies: str) -> None:
 
 def write_report(df: DataFrame, path: str) -> None:
     """A report is small: one file."""
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    df.repartition(1).write.mode("overwrite").parquet(path)
