@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from venuelens.functions.text import char_count, combined_text, is_blank, text_or_empty, word_count
 from venuelens.operators.dedup import duplicate_digests, row_digest
 from venuelens.operators.materialize import materialize
-from venuelens.operators.quantiles import column_quantiles, distinct_bound, number, quantiles_of_counts
+from venuelens.operators.quantiles import column_quantiles, extent, number, quantiles_of_counts
 
 
 def _one_row_to_rows(df: DataFrame, records: Sequence[Column]) -> DataFrame:
@@ -88,17 +88,15 @@ def number_profile(df: DataFrame, cols: Sequence[str], approx: bool = False) ->
                 F.when(
                     n >= 3, F.coalesce(F.skewness(x) * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0)), F.lit(0.0))
                 ).alias("skewness"),
-                F.count(x).alias("n"),
-                F.min(x).alias("low"),
-                F.max(x).alias("high"),
-                (F.percentile_approx(x, 0.5) if approx else distinct_bound(x)).alias("last"),
+                *extent(x),
+                *([F.percentile_approx(x, 0.5).alias("approx")] if approx else []),
             ).alias(c)
         )
     seen = df.agg(*measures).first()
     if approx:
-        medians = {c: seen[c]["last"] for c in cols}
+        medians = {c: seen[c]["approx"] for c in cols}
     else:
-        found = column_quantiles(df, cols, {"median": 0.5}, {c: seen[c]["last"] for c in cols})
+        found = column_quantiles(df, cols, {"median": 0.5}, seen)
         medians = {c: found[c]["median"] for c in cols}
     order = ("n", "missing", "low", "high", "mean", "median", "std", "zeros", "share_all", "share_valid", "skewness")
     rows = [(c, *[medians[c] if m == "median" else seen[c][m] for m in order]) for c in cols]

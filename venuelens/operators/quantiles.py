@@ -6,7 +6,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
 from venuelens.operators.bins import Ranges, add_bin, default_parts, find_ranges
 from venuelens.operators.materialize import materialize
@@ -99,9 +99,24 @@ def number(c: str) -> Column:
     return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
 
 
-def distinct_bound(x: Column) -> Column:
-    """Sketched number of distinct values, or the number of values if that is smaller."""
-    return F.least(F.count(x), F.approx_count_distinct(x))
+def extent(x: Column) -> list[Column]:
+    """What bounds the number of distinct values of a column cheaply."""
+    return [F.count(x).alias("n"), F.min(x).alias("low"), F.max(x).alias("high")]
+
+
+def _distinct_bounds(df: DataFrame, cols: Sequence[str], extents: Mapping[str, Row]) -> dict[str, int]:
+    """An upper bound of distinct values: the rows, the range of whole numbers, or else a sketched count."""
+    bounds = {}
+    for c in cols:
+        seen = extents[c]
+        bounds[c] = seen["n"]
+        if seen["n"] and isinstance(df.schema[c].dataType, T.IntegralType):
+            bounds[c] = min(seen["n"], int(seen["high"] - seen["low"]) + 1)
+    unknown = [c for c in cols if bounds[c] > SMALL]
+    if unknown:
+        sketched = df.agg(*[F.approx_count_distinct(number(c)).alias(c) for c in unknown]).first()
+        bounds |= {c: min(bounds[c], sketched[c]) for c in unknown}
+    return bounds
 
 
 def _outline(x: Column) -> Column:
@@ -203,16 +218,17 @@ def _search(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float]) -> d
 
 
 def column_quantiles(
-    df: DataFrame, cols: Sequence[str], probs: Mapping[str, float], distinct: Mapping[str, int] | None = None
+    df: DataFrame, cols: Sequence[str], probs: Mapping[str, float], extents: Mapping[str, Row] | None = None
 ) -> dict[str, dict[str, float | None]]:
     """Exact interpolated quantiles of whole columns.
 
     Columns whose checked number of distinct values is at most ``SMALL`` shrink to counts per value, all
-    in one pass, and Spark's exact percentile reads those; other columns are searched. ``distinct``
-    holds the ``distinct_bound`` of every column where the caller has it.
+    in one pass, and Spark's exact percentile reads those; other columns are searched. ``extents``
+    holds the ``extent`` of every column where the caller has it.
     """
-    if distinct is None:
-        distinct = df.agg(*[distinct_bound(number(c)).alias(c) for c in cols]).first().asDict()
+    if extents is None:
+        extents = df.agg(*[F.struct(*extent(number(c))).alias(c) for c in cols]).first()
+    distinct = _distinct_bounds(df, cols, extents)
     result: dict[str, dict[str, float | None]] = {c: dict.fromkeys(probs) for c in cols}
     few = [c for c in cols if 0 < distinct[c] <= SMALL]
     many = [c for c in cols if distinct[c] > SMALL]
