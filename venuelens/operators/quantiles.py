@@ -104,19 +104,11 @@ def extent(x: Column) -> list[Column]:
     return [F.count(x).alias("n"), F.min(x).alias("low"), F.max(x).alias("high")]
 
 
-def _distinct_bounds(df: DataFrame, cols: Sequence[str], extents: Mapping[str, Row]) -> dict[str, int]:
-    """An upper bound of distinct values: the rows, the range of whole numbers, or else a sketched count."""
-    bounds = {}
-    for c in cols:
-        seen = extents[c]
-        bounds[c] = seen["n"]
-        if seen["n"] and isinstance(df.schema[c].dataType, T.IntegralType):
-            bounds[c] = min(seen["n"], int(seen["high"] - seen["low"]) + 1)
-    unknown = [c for c in cols if bounds[c] > SMALL]
-    if unknown:
-        sketched = df.agg(*[F.approx_count_distinct(number(c)).alias(c) for c in unknown]).first()
-        bounds |= {c: min(bounds[c], sketched[c]) for c in unknown}
-    return bounds
+def _distinct_bound(seen: Row, kind: T.DataType) -> int:
+    """An upper bound of distinct values: the number of rows, or the range of whole numbers."""
+    if seen["n"] and isinstance(kind, T.IntegralType):
+        return min(seen["n"], int(seen["high"] - seen["low"]) + 1)
+    return seen["n"]
 
 
 def _outline(x: Column) -> Column:
@@ -222,13 +214,13 @@ def column_quantiles(
 ) -> dict[str, dict[str, float | None]]:
     """Exact interpolated quantiles of whole columns.
 
-    Columns whose checked number of distinct values is at most ``SMALL`` shrink to counts per value, all
-    in one pass, and Spark's exact percentile reads those; other columns are searched. ``extents``
-    holds the ``extent`` of every column where the caller has it.
+    Columns that have at most ``SMALL`` distinct values for sure shrink to counts per value, all in one
+    pass, and Spark's exact percentile reads those; other columns are searched. ``extents`` holds the
+    ``extent`` of every column where the caller has it.
     """
     if extents is None:
         extents = df.agg(*[F.struct(*extent(number(c))).alias(c) for c in cols]).first()
-    distinct = _distinct_bounds(df, cols, extents)
+    distinct = {c: _distinct_bound(extents[c], df.schema[c].dataType) for c in cols}
     result: dict[str, dict[str, float | None]] = {c: dict.fromkeys(probs) for c in cols}
     few = [c for c in cols if 0 < distinct[c] <= SMALL]
     many = [c for c in cols if distinct[c] > SMALL]
