@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelens.llm import decontaminate, neardup
+from venuelens.llm import decontaminate, licences, lines, mixing, neardup, perplexity, pii, spots, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,87 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(words.n_hit, 0) AS n_hit, coalesc
   sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(words.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
 """
+
+
+@_query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = lambda id: F.crc32(id.cast("string")) % 3 == 1
+    model = toxicity.fit(docs, labels.where(~held_out(F.col("doc_id"))))
+    scored = toxicity.score(docs, model, threshold=0.7)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "sentences")
+
+
+#: Shares of tokens after mixing.
+TARGETS = {"en": 0.46, "de": 0.17, "fr": 0.16, "es": 0.11, "low": 0.10}
+
+
+@_query
+def op2_mixing_to_target_weights(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return mixing.mix(docs, mixing.label_domains(docs, labels), TARGETS)
+
+
+@_query
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return licences.scan_documents(docs, licences.fit(docs))
+
+
+@_query
+def op4_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge_urls(table(spark, folder, "pages"))
+
+
+#: Sources whose texts train the language model.
+TRUSTED = ("src1", "src2", "src3", "src4", "src5")
+
+
+@_query
+def op6_quality_perplexity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = perplexity.fit(docs.where(F.col("source").isin(*TRUSTED)))
+    return perplexity.judge(perplexity.perplexity(docs, model), docs, labels.where("quality = 1"))
+
+
+@_query
+def op7_spotsigs_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return spots.fingerprint_edits(table(spark, folder, "documents"))
+
+
+@_query
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.drop_repeated_units(table(spark, folder, "documents"))
+
+
+@_query
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return pii.find_pii(docs, pii.fit(docs))
+
+
+def _word(column: str, term: str) -> str:
+    return f"regexp_matches({column}, '(^|[^a-z0-9]){term}($|[^a-z0-9])')"
+
+
+ORACLES["op4_url_filters"] = f"""
+WITH parts AS (
+  SELECT page_id, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+    CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+split AS (
+  SELECT page_id, low, translate(coalesce(regexp_extract(rest, '^([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+  FROM parts),
+rules(rule, name, start, verdict) AS (VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+  ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+fit AS (
+  SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM split, rules WHERE ends_with('.' || host, '.' || name) AND starts_with(path, start) GROUP BY page_id),
+counted AS (
+  SELECT page_id, host, path, {" + ".join(f"CAST({_word('low', t)} AS INT)" for t in urls.STRICT)} AS strict,
+    {" + ".join(f"CAST({_word('low', t)} AS INT)" for t in urls.SOFT)} AS soft
+  FROM split)
+SELECT c.page_id, c.host, c.path, fit.rule, coalesce(fit.verdict, CASE WHEN strict > 0 OR soft >= 2 THEN 'block' ELSE 'allow' END) AS verdict, strict, soft
+FROM counted c LEFT JOIN fit ON fit.page_id = c.page_id
+"""
