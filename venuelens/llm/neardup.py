@@ -11,15 +11,17 @@ from venuelens.llm.components import components
 from venuelens.llm.storage import keep
 from venuelens.llm.words import NO_SPACE, mix, slices, words_of
 
-#: A signature has CHUNKS chunks of CHUNK one-byte symbols. With ERRORS wrong symbols allowed in a chunk, all pairs that
-#: differ in at most CHUNKS * (ERRORS + 1) - 1 symbols share a key; a pair at similarity 0.8 is missed with probability
+#: A signature has SYMBOLS one-byte symbols, of which the first ones form CHUNKS chunks of CHUNK. With ERRORS wrong symbols allowed in a chunk, all pairs that
+#: differ in at most CHUNKS * (ERRORS + 1) - 1 of these symbols share a key; a pair at similarity 0.8 is missed with probability
 #: (1 - 0.8 ** 5 - 5 * 0.2 * 0.8 ** 4) ** 10, less than 2e-6.
 CHUNKS, CHUNK, ERRORS = 10, 5, 1
-SYMBOLS = CHUNKS * CHUNK
-LANES = -(-SYMBOLS // 8)
+KEYED = CHUNKS * CHUNK
 
-#: Candidates that differ in more symbols are not compared: at similarity 0.8 the chance of that is below 1e-6.
-MOST_WRONG = 27
+#: Further symbols only sharpen the distance: candidates that differ in more than MOST_WRONG of all SYMBOLS are not
+#: compared; at similarity 0.8 the chance of that is about 1e-6.
+SYMBOLS = 128
+LANES = SYMBOLS // 8
+MOST_WRONG = 47
 
 _SEEDS = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64)) | np.uint64(1)
 _LANES = [f"s{i}" for i in range(LANES)]
@@ -97,7 +99,7 @@ def _wrong(a: str, b: str) -> Column:
 
 def _keys(lanes: list[Column]) -> Column:
     """The keys of a signature: of each chunk, what is left when any one symbol (ERRORS = 1) is allowed to be wrong."""
-    symbol = [F.shiftright(lanes[i // 8], 8 * (i % 8)).bitwiseAND(F.lit(255)) for i in range(SYMBOLS)]
+    symbol = [F.shiftright(lanes[i // 8], 8 * (i % 8)).bitwiseAND(F.lit(255)) for i in range(KEYED)]
     out = []
     for c in range(CHUNKS):
         for wrong in range(CHUNK):
