@@ -23,6 +23,7 @@ class Lower:
     words: np.ndarray  # ascending hashes of the vocabulary; word i has number i + 2
     weight: np.ndarray  # log of the weight of the lower order after a word, by number
     continuation: np.ndarray  # log of the continuation probability of a word, by number
+    rare: float  # log of the share of one word among those outside the vocabulary
     head: np.ndarray  # ascending keys of the frequent bigrams
     gain: np.ndarray  # what seeing the bigram adds to the log of the lower order's share
 
@@ -81,18 +82,19 @@ def fit(trusted: DataFrame, text: str = "text", share: float = 1e-6) -> tuple[Lo
     """The model of all of `trusted`: what is broadcast, and the table (key, gain) of the other bigrams.
 
     P(w | v) = max(c(vw) - D(c), 0) / c(v) + weight(v) * continuation(w), and the continuation is discounted in the same way towards the
-    uniform distribution. Words with less than `share` of all are one word to the model. All counts are taken over all trusted text. What is
+    uniform distribution. Words with less than `share` of all are one class to the model, shared out evenly among its words. All counts are taken over all trusted text. What is
     gathered is bounded by 1 / share words and as many bigrams; rarer bigrams stay in a table, to be joined. Without trusted text every word
     is equally likely.
     """
     docs = trusted.select(F.col(text).cast("string").alias("text"))
     empty = np.zeros(0)
-    lower = Lower(np.zeros(0, np.uint64), empty, empty, np.zeros(0, np.int64), empty)
+    lower = Lower(np.zeros(0, np.uint64), np.zeros(2), np.zeros(2), 0.0, np.zeros(0, np.int64), empty)
     words = keep(_counted(docs, None))
     total = words.agg(F.sum("n")).first()[0] or 0
     if total:
         known = words.where(F.col("n") >= max(2.0, share * total)).select("key").toArrow().column("key").to_numpy()
         lower.words = np.sort(known.view(np.uint64))
+        lower.rare = -float(np.log(words.count() - len(known) + 1))
     size = len(lower.words) + 2
     pairs = keep(_counted(docs, lower))
     d = _discounts(_counts_of(pairs, "n"))
@@ -158,6 +160,7 @@ def perplexity(docs: DataFrame, model: tuple[Lower, DataFrame], id: str = "doc_i
             logs = lower.weight[v] + lower.continuation[x] if len(v) else np.zeros(0)
             if is_head.any():
                 logs = logs + np.where(is_head, lower.gain[at], 0.0)
+            logs = logs + np.where(x == RARE, lower.rare, 0.0)
             sums = np.bincount(rows, logs, batch.num_rows)
             yield pa.RecordBatch.from_pydict({"doc": batch.column("doc"), "doc_id": batch.column("doc_id"), "n_tokens": pa.array(np.diff(w.first), pa.int64()), "logs": sums})
 

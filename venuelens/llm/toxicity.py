@@ -55,26 +55,26 @@ def _document(z: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def sample_labels(labels: DataFrame, id: str, label: str, most: int) -> DataFrame:
-    """(id, y, weight): up to `most` labelled rows of each class in an order that only depends on the id.
+def sample_labels(labels: DataFrame, id: str, label: str, most: tuple[int, int]) -> DataFrame:
+    """(id, y, weight): up to most[y] labelled rows of class y in an order that only depends on the id.
 
-    Weights restore the shares of the classes among all labelled rows. Its size is bounded by 2 * most.
+    Weights restore the shares of the classes among all labelled rows. Its size is bounded by sum(most).
     """
     known = labels.where(F.col(id).isNotNull() & F.col(label).isin(0, 1)).select(F.col(id).alias("id"), F.col(label).cast("int").alias("y"))
     known = known.groupBy("id").agg(F.max("y").alias("y"))
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     parts = []
     for y in (0, 1):
-        part = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(most)
-        parts.append(part.withColumn("weight", F.lit(max(1.0, counts.get(y, 0) / most))))
+        part = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(most[y])
+        parts.append(part.withColumn("weight", F.lit(max(1.0, counts.get(y, 0) / most[y]))))
     return parts[0].union(parts[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", most: int = 2500, longest: int = 20_000, rounds: int = 120) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", most: tuple[int, int] = (12_000, 3_000), longest: int = 20_000) -> Model:
     """Fit sentence weights to document labels.
 
-    The training sample is bounded: `most` labelled documents a class, of up to `longest` bytes each; their tokenised sentences
-    are gathered and fitted together by full-batch gradient steps (Adam). Without positive labels every score is near 0.
+    The training sample is bounded: most[0] clean and most[1] positive documents, of up to `longest` bytes each; their tokenised
+    sentences are gathered and fitted together. Without positive labels every score is near 0.
     NULL ids, texts and labels are left out; a repeated id is positive if one of its labels is.
     """
     chosen = F.broadcast(sample_labels(labels, id, label, most))
@@ -93,48 +93,67 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
                 yield pa.RecordBatch.from_pydict({"y": batch.column("y"), "weight": batch.column("weight"), "found": [x[0] for x in rows], "begin": [x[1] for x in rows]})
 
     sample = narrow.join(chosen, "id").mapInArrow(run, "y int, weight double, found binary, begin binary").toArrow()
-    return _fit(sample, rounds)
+    return _fit(sample)
 
 
-def _fit(sample: pa.Table, rounds: int) -> Model:
+def _fit(sample: pa.Table, rounds: int = 150, rate: float = 0.1, sparse: float = 1e-4) -> Model:
+    """Full-batch gradient steps (Adam) on the negative log likelihood of the document labels.
+
+    Weights are not negative: a sentence offends by what it holds. Features take part that at least three positive documents have, and
+    significantly more often than others; a sparsity term keeps chance features small.
+    """
     y, weight = sample.column("y").to_numpy().astype(float), sample.column("weight").to_numpy()
     found = [np.frombuffer(x, np.int32) for x in sample.column("found").to_pylist()]
     begin = [np.frombuffer(x, np.int32) for x in sample.column("begin").to_pylist()]
-    full = [i for i, b in enumerate(begin) if len(b)]
     model = Model(np.zeros(BUCKETS, dtype=np.float32), -6.0)
-    if not full or not y[full].any():
+    if not (y > 0).any():
+        return model
+    number = _chosen_features(y, found)
+    texts = [i for i, b in enumerate(begin) if len(b)]
+    sentence, feature, first, n = [], [], [], 0
+    for i in texts:
+        own = number[found[i]]
+        where = np.repeat(np.searchsorted(begin[i], np.arange(len(own) // 3), "right") - 1 + n, 3)
+        sentence.append(where[own >= 0])
+        feature.append(own[own >= 0])
+        first.append(n)
+        n += len(begin[i])
+    if not texts:
         return model
-    y, weight = y[full], weight[full]
-    flat = np.concatenate([found[i] for i in full])
-    sizes = np.array([len(found[i]) for i in full])
-    shift = np.concatenate([[0], np.cumsum(sizes)])
-    starts = np.concatenate([begin[i].astype(np.int64) * 3 + s for i, s in zip(full, shift)])
-    docs_at = np.concatenate([[0], np.cumsum([len(begin[i]) for i in full])])
-    spread = np.diff(np.append(starts, len(flat)))
-    # Only buckets seen in positive documents or often enough to matter take part; they are numbered anew.
-    used, where = np.unique(flat, return_inverse=True)
-    where = where.astype(np.int32)
-    weight = weight / weight.sum()
-    v, bias = np.zeros(len(used)), -6.0
-    m1, m2 = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
-    per_doc = np.diff(docs_at)
+    sentence, feature, first = np.concatenate(sentence), np.concatenate(feature), np.array(first)
+    y, weight = y[texts], weight[texts] / weight[texts].sum()
+    each = np.diff(np.append(first, n))
+    size = int(number.max()) + 1
+    x = np.append(np.full(size, 2.0), -6.0)  # weights, then the intercept
+    m1, m2 = np.zeros(size + 1), np.zeros(size + 1)
     for t in range(1, rounds + 1):
-        z = np.add.reduceat(v[where], starts) + bias
-        total = np.add.reduceat(_softplus(z), docs_at[:-1])
-        slope = np.where(y > 0, -1.0 / np.expm1(np.maximum(total, 1e-9)), 1.0) * weight
-        dz = np.repeat(slope, per_doc) / (1.0 + np.exp(-z))
-        g = np.append(np.bincount(where, np.repeat(dz, spread), len(used)), dz.sum())
-        g[:-1] += 1e-5 * v
-        m1 = 0.9 * m1 + 0.1 * g
-        m2 = 0.99 * m2 + 0.01 * g * g
-        step = 0.1 * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-7)
-        v -= step[:-1]
-        bias -= step[-1]
-    model.weights[used] = v
-    model.bias = float(bias)
+        z = np.bincount(sentence, x[feature], n) + x[-1]
+        total = np.add.reduceat(_softplus(z), first)
+        slope = np.where(y > 0, -1.0 / np.expm1(np.clip(total, 1e-9, 500.0)), 1.0) * weight
+        dz = np.repeat(slope, each) / (1.0 + np.exp(-np.clip(z, -500.0, 500.0)))
+        g = np.append(np.bincount(feature, dz[sentence], size) + sparse, dz.sum())
+        m1, m2 = 0.9 * m1 + 0.1 * g, 0.99 * m2 + 0.01 * g * g
+        x -= rate * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-8)
+        x[:-1] = np.maximum(x[:-1], 0.0)
+    model.weights[number >= 0] = x[:-1]
+    model.bias = float(x[-1])
     return model
 
 
+def _chosen_features(y: np.ndarray, found: list[np.ndarray], least: int = 3, deviations: float = 2.0) -> np.ndarray:
+    """Number of every bucket whose log odds ratio of positive documents lies `deviations` standard errors above 0; else -1."""
+    seen = np.zeros((2, BUCKETS))
+    for label, x in zip(y.astype(int), found):
+        seen[label, np.unique(x)] += 1
+    rest = np.array([[(y == 0).sum()], [(y > 0).sum()]]) - seen
+    odds = np.log((seen + 0.5) / (rest + 0.5))
+    error = np.sqrt(1 / (seen + 0.5)).clip(min=1e-9)
+    chosen = (seen[1] >= least) & (odds[1] - odds[0] > deviations * np.sqrt(error[0] ** 2 + error[1] ** 2))
+    number = np.full(BUCKETS, -1, dtype=np.int32)
+    number[chosen] = np.arange(chosen.sum())
+    return number
+
+
 def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text", threshold: float = 0.7, located: float = 0.5) -> DataFrame:
     """One row per document: doc_id, score (0 to 1), predicted (1 from `threshold`) and the offending sentences.
 
