@@ -161,7 +161,7 @@ def perplexity(docs: DataFrame, model: tuple[Lower, DataFrame], id: str = "doc_i
             if is_head.any():
                 logs = logs + np.where(is_head, lower.gain[at], 0.0)
             logs = logs + np.where(x == RARE, lower.rare, 0.0)
-            sums = np.bincount(rows, logs, batch.num_rows)
+            sums = np.bincount(rows, logs, batch.num_rows).astype(np.float64)
             yield pa.RecordBatch.from_pydict({"doc": batch.column("doc"), "doc_id": batch.column("doc_id"), "n_tokens": pa.array(np.diff(w.first), pa.int64()), "logs": sums})
 
     def asking(batches):
