@@ -104,7 +104,9 @@ def test_a_failing_candidate_does_not_stop_the_others(spark):
     train, test = ft.split(rows, "row_id")
     spec = ml.FeatureSpec(("age",))
     metrics, errors = ml.compare_models(train, test, {"ok": (ml.fit_mean, spec), "bad": (broken, spec)}, "row_id", rp.TARGET)
-    assert [r["model_name"] for r in metrics.collect()] == ["ok"]
+    rows = {r["model_name"]: r for r in metrics.collect()}
+    assert set(rows) == {"ok", "bad"} and rows["ok"]["error"] is None
+    assert rows["bad"]["error"] == "ValueError: no luck" and rows["bad"]["rmse"] is None
     assert errors == {"bad": "ValueError: no luck"}
     with pytest.raises(RuntimeError):
         ml.compare_models(train, test, {"bad": (broken, spec)}, "row_id", rp.TARGET)
@@ -116,7 +118,10 @@ def test_champion_is_replaced_only_by_a_lower_error(spark, tmp_path):
     metric = lambda e: spark.createDataFrame([("m", e)], "model_name string, rmse double")
     path = str(tmp_path)
     assert champion.champion_metrics(spark, path) is None
-    assert [champion.save_if_better(model, metric(e), path) for e in (2.0, 2.0, 2.5, 1.0, None)] == [True, False, False, True, True]
+    assert [champion.save_if_better(model, metric(e), path) for e in (None, 2.0, 2.0, 2.5, float("nan"), 1.0, None)] == [
+        False, True, False, False, False, True, False]
+    assert champion.champion_metrics(spark, path)["rmse"] == 1.0 and champion.champion_metrics(spark, path)["version"] == 2
+    assert len([p for p in tmp_path.iterdir() if p.name.startswith("model-")]) == 1
     assert champion.load_champion(spark, path).transform(df).first()["prediction"] == 2.0
 
 
@@ -160,7 +165,9 @@ def test_business_studies(spark):
     batch = [(f"b{i}", f"n{i}", False, i, [("x", "Thai"), ("y", "Bar")] if i % 2 else [("y", "Bar")], 3.0 + i % 3,
               ["pickup", "delivery"][: i % 3], ["$", "$$", None][i % 3]) for i in range(30)]
     first, second = spark.createDataFrame(batch, schema), spark.createDataFrame(batch[:10], schema)
-    wide = vp.encode_businesses([first, second])
+    sparse = vp.encode_businesses([first, second]).filter("id = 'b5'").first()
+    assert sparse["categories_counts"] == {"Thai": 1, "Bar": 1} and sparse["transactions_counts"] == {"pickup": 1, "delivery": 1}
+    wide = vp.encode_businesses([first, second], ["pickup", "delivery"], ["Thai", "Bar"])
     assert wide.count() == 30
     row = wide.filter("id = 'b5'").first()
     assert (row["categories_Thai"], row["categories_Bar"], row["transactions_pickup"], row["$"], row["$$$$"]) == (1, 1, 1, 0, 0)

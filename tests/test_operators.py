@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
 from venuelens.operators import categories as ct, dedup as dd, distribution as ds, encoding as en, filters as fl
-from venuelens.operators import joins, materialize as mt, matching, partitioning, profile as pf
+from venuelens.operators import materialize as mt, matching, profile as pf
 
 
 def test_junk_filter_keeps_null(spark):
@@ -37,13 +37,15 @@ def sized_categories(spark):
     return spark.createDataFrame(rows, "c string, r double")
 
 
-@pytest.mark.parametrize("bound", [joins.BROADCAST_ROWS, 0])
-def test_drop_rare_keeps_null_and_counts_only_values(spark, monkeypatch, bound):
-    monkeypatch.setattr(joins.join_lookup, "__defaults__", (bound,))
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_drop_rare_keeps_null_and_counts_only_values(spark, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     kept = fl.drop_rare(sized_categories(spark), "c", "r", 10)
     assert {(r["c"], r["count"]) for r in kept.groupBy("c").count().collect()} == {
         ("c10", 10), ("c20", 20), ("c21", 21), (None, 2)
     }
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_category_stats(spark):
@@ -206,14 +208,26 @@ def test_box_and_grid(spark):
 
 def test_one_hot(spark):
     df = spark.createDataFrame([(1, ["p", "d", "p"]), (2, []), (3, None)], "id int, t array<string>")
-    wide = en.one_hot_array(df, "t").orderBy("id").collect()
+    wide = en.one_hot_array(df, "t", ["d", "p"]).orderBy("id").collect()
     assert [(r["t_d"], r["t_p"]) for r in wide] == [(1, 2), (0, 0), (0, 0)]
-    with pytest.raises(ValueError):
-        en.distinct_values(df, "t", True, 1)
     scalar = en.one_hot_scalar(spark.createDataFrame([("$",), (None,)], "p string"), "p", ["$", "$$"])
     assert sorted((r["$"], r["$$"]) for r in scalar.collect()) == [(0, 0), (1, 0)]
 
 
+def test_sparse_counts_have_room_for_any_number_of_values(spark):
+    rows = spark.range(5000).select(F.array(F.concat(F.lit("v"), F.col("id")), F.lit("all")).alias("t"))
+    counts = en.sparse_counts(rows, "t").select(F.explode("value_counts")).groupBy("key").agg(F.sum("value").alias("n"))
+    assert counts.count() == 5001 and counts.filter("key = 'all'").first()["n"] == 5000
+
+
+def test_quantiles_of_infinite_values(spark):
+    from venuelens.operators import quantiles as qt
+
+    df = spark.createDataFrame([(float("inf"),), (float("inf"),), (1.0,)], "v double")
+    assert qt.exact_quantiles(df, "v", {"m": 0.5}).first()["m"] == float("inf")
+    assert qt.column_quantiles(df, ["v"], {"m": 0.5, "low": 0.0})["v"] == {"m": float("inf"), "low": 1.0}
+
+
 def test_match_values(spark):
     df = spark.createDataFrame([("Intimates",), ("Initmates",), (" intimates ",), ("in-timates",), ("zzz",), (None,), ("",)], "v string")
     got = [tuple(r) for r in matching.match_values(df, "v", ["Dresses", "Intimates"], 0.6).collect()]
@@ -224,9 +238,7 @@ def test_match_values(spark):
     assert got[1][3] == pytest.approx(7 / 9)
 
 
-def test_materialize_and_spread(spark):
+def test_materialize(spark):
     df = spark.range(10).repartition(2)
     kept = mt.materialize(df)
     assert kept.count() == 10 and "FileScan parquet" in plan_of(kept)
-    assert partitioning.spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == 4
-    assert partitioning.spread(spark.range(10, numPartitions=6)).rdd.getNumPartitions() == 6

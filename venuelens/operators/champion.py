@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -10,9 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def champion_metrics(spark: SparkSession, path: str) -> dict | None:
-    """The stored one-row metrics, or None when there is no readable history."""
+    """The metrics of the current version, or None when there is none.
+
+    Every champion is a version folder with its model and metrics; the file names in ``current`` are version numbers, and
+    the largest one is the current version.
+    """
     try:
-        row = spark.read.parquet(f"{path}/metrics").first()
+        row = spark.read.parquet(f"{path}/current/*").orderBy(F.desc("version")).first()
     except AnalysisException:
         return None
     return row.asDict() if row else None
@@ -22,19 +27,49 @@ def load_champion(spark: SparkSession, path: str) -> PipelineModel:
     return PipelineModel.load(champion_metrics(spark, path)["model_path"])
 
 
+def _usable(error: float | None) -> bool:
+    return error is not None and not math.isnan(error)
+
+
 def save_if_better(model: PipelineModel, metrics: DataFrame, path: str) -> bool:
-    """Replace the stored model when the new RMSE is strictly lower or nothing is stored.
+    """Replace the stored model when the new RMSE is strictly lower or nothing usable is stored.
 
-    ``metrics`` has one row with at least ``model_name`` and ``rmse``. The model goes to a folder of its
-    own first; the metrics that point to it follow, so a broken run leaves the old champion in place.
+    ``metrics`` has one row with at least ``model_name`` and ``rmse``; a missing or NaN error never wins. The model is written
+    first, the metrics that point to it follow in a folder of their own, and only then does the former version go: a run that
+    breaks anywhere leaves a whole champion.
     """
     spark = metrics.sparkSession
-    old = champion_metrics(spark, path)
-    new = metrics.first()
-    if old and old.get("rmse") is not None and new["rmse"] is not None and new["rmse"] >= old["rmse"]:
+    old, new = champion_metrics(spark, path), metrics.first()
+    if not _usable(new["rmse"]) or (old and _usable(old.get("rmse")) and new["rmse"] >= old["rmse"]):
         return False
-    model_path = f"{path}/model-{uuid.uuid4().hex}"
+    version = (old["version"] if old else 0) + 1
+    model_path = f"{path}/model-{version}-{uuid.uuid4().hex}"
     model.write().save(model_path)
-    row = metrics.withColumns({"model_path": F.lit(model_path), "trained_at": F.current_timestamp()})
-    row.coalesce(1).write.mode("overwrite").parquet(f"{path}/metrics")
+    row = metrics.withColumns(
+        {"version": F.lit(version).cast("bigint"), "model_path": F.lit(model_path), "trained_at": F.current_timestamp()}
+    )
+    staged = f"{path}/staged-{uuid.uuid4().hex}"
+    row.coalesce(1).write.parquet(staged)
+    # A rename is atomic: readers see the new version as a whole or not at all.
+    _rename(spark, staged, f"{path}/current/{version}")
+    if old:
+        _delete(spark, f"{path}/current/{old['version']}")
+        _delete(spark, old["model_path"])
     return True
+
+
+def _files(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    to, fs = _files(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(_files(spark, source)[0], to):
+        raise OSError(f"{target} exists already: another run has saved a champion meanwhile")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target, fs = _files(spark, path)
+    fs.delete(target, True)

@@ -6,30 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from venuelens.functions.arrays import indicator, occurrences, value_counts_map
+from venuelens.functions.arrays import indicator, value_counts_map
 
-MAX_COLUMNS = 1000
 
+def one_hot_array(df: DataFrame, col: str, values: Sequence[str], prefix: str | None = None) -> DataFrame:
+    """A count column per listed value of an array column, computed in place without moving rows.
 
-def distinct_values(df: DataFrame, col: str, is_array: bool, limit: int = MAX_COLUMNS) -> list[str]:
-    """Sorted distinct values that become column names; raises when a table cannot be that wide."""
-    source = df.select(F.explode(col).alias("value")) if is_array else df.select(F.col(col).alias("value"))
-    found = source.filter("value IS NOT NULL").distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"{col} has more than {limit} values; use sparse_counts, which has no such bound")
-    return sorted(row["value"] for row in found)
+    The counts of a row are formed once, as a map, and every column reads that. For values that are not known
+    beforehand there is ``sparse_counts``, whose rows stay as narrow as their arrays.
+    """
+    counted = df.withColumn("_counts", value_counts_map(F.col(col)))
+    columns = {f"{prefix or col}_{v}": F.coalesce(F.try_element_at("_counts", F.lit(v)), F.lit(0)).cast("int") for v in values}
+    return counted.withColumns(columns).drop("_counts")
 
 
-def one_hot_array(df: DataFrame, col: str, values: Sequence[str] | None = None, prefix: str | None = None) -> DataFrame:
-    """A count column per value of an array column, computed in place without moving rows."""
-    names = distinct_values(df, col, True) if values is None else values
-    return df.withColumns({f"{prefix or col}_{v}": occurrences(F.col(col), v) for v in names})
-
-
-def one_hot_scalar(df: DataFrame, col: str, values: Sequence[str] | None = None, prefix: str = "") -> DataFrame:
-    """A 0/1 column per value; a missing value gives zeros only."""
-    names = distinct_values(df, col, False) if values is None else values
-    return df.withColumns({f"{prefix}{v}": indicator(F.col(col), v) for v in names})
+def one_hot_scalar(df: DataFrame, col: str, values: Sequence[str], prefix: str = "") -> DataFrame:
+    """A 0/1 column per listed value; a missing or other value gives zeros only."""
+    return df.withColumns({f"{prefix}{v}": indicator(F.col(col), v) for v in values})
 
 
 def sparse_counts(df: DataFrame, col: str, name: str = "value_counts") -> DataFrame:

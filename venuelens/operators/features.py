@@ -82,7 +82,7 @@ def tfidf_vocabulary(df: DataFrame, col: str, size: int = 500, min_df: int = 2)
     Sorting the tokens of a text marks the first of each term, so that both counts come from one
     aggregation by term. Ties go to the smaller term.
     """
-    ordered = F.array_sort(tx.tokens(F.col(col)))
+    ordered = F.sort_array(tx.tokens(F.col(col)))
     marked = F.transform(
         F.col("_tokens"),
         lambda term, i: F.struct(

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from venuelens.operators.joins import join_lookup
+from venuelens.operators.joins import without_listed
 from venuelens.operators.profile import corr_matrix
 
 LEAK_LIMIT = 0.999
@@ -63,7 +63,7 @@ def rare_values(df: DataFrame, col: str, value: str, min_count: int = 10) -> Dat
 def drop_rare(df: DataFrame, col: str, value: str, min_count: int = 10) -> DataFrame:
     """Drop rows of rare categories; rows without a category stay."""
     rare = rare_values(df, col, value, min_count).select(col)
-    return join_lookup(df, rare, [col], "left_anti")
+    return without_listed(df, rare, col)
 
 
 def feature_columns(df: DataFrame, target: str, technical: Sequence[str] = ()) -> list[str]:

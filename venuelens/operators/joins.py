@@ -1,25 +1,15 @@
-"""Joins of large rows with a lookup whose size is only known at run time."""
+"""Anti-joins of large rows with a lookup of any size."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F
 
-from venuelens.operators.materialize import materialize
-
-BROADCAST_ROWS = 200_000
-
 
-def join_lookup(
-    rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Join with a narrow lookup: broadcast when counted small, shuffle join otherwise.
+def without_listed(rows: DataFrame, listed: DataFrame, col: str) -> DataFrame:
+    """Rows whose value is not in ``listed``; rows without a value stay.
 
-    The lookup is written once, so that counting it does not compute it a second time. Beyond
-    ``max_rows``, adaptive execution splits hot keys of the row side (left, left-semi and left-anti
-    joins all allow that).
+    Adaptive execution broadcasts the lookup if its measured bytes allow it and splits hot values otherwise.
+    Rows without a value never match, so they are kept out of the join and of its hot partition.
     """
-    lookup = materialize(lookup)
-    small = lookup.limit(max_rows + 1).count() <= max_rows
-    return rows.join(F.broadcast(lookup) if small else lookup, list(on), how)
+    named = rows.filter(F.col(col).isNotNull()).join(listed, [col], "left_anti")
+    return named.unionByName(rows.filter(F.col(col).isNull()))

@@ -19,25 +19,27 @@ def match_values(df: DataFrame, col: str, dictionary: Sequence[str], cutoff: flo
     """Add ``matched_value``, ``match_type`` and ``match_score``.
 
     The dictionary is a list of names given by the caller, held as a literal array: rows are matched
-    where they are, without a join or a pair per candidate. The edit distance is only computed for
-    rows that neither equal an entry nor equal one after normalisation. Ties go to the earlier entry.
+    where they are, without a join or a pair per candidate. Its normal forms are literals too, formed once when
+    the query is planned. The edit distance is only computed for rows that neither equal an entry nor equal one
+    after normalisation. Ties go to the earlier entry.
     """
     value = F.col(col)
     names = list(dictionary)
     entries = F.array(*[F.lit(name) for name in names])
 
     def first_equal(form) -> Column:
-        wanted = form(value)
-        return F.get(F.filter(entries, lambda e: form(e) == wanted), F.lit(0))
+        forms = F.array(*[form(F.lit(name)) for name in names])
+        return F.get(entries, F.nullif(F.array_position(forms, form(value)), F.lit(0).cast("bigint")).cast("int") - 1)
 
     exact = F.when(value.isin(*names), value)
     normal = F.coalesce(
         first_equal(squeeze_name), F.when(bare_name(value) != "", first_equal(bare_name))
     )
     wanted = squeeze_name(value)
+    squeezed = F.array(*[F.struct(squeeze_name(F.lit(name)).alias("form"), F.lit(name).alias("name")) for name in names])
     scored = F.transform(
-        entries,
-        lambda e, i: F.struct(similarity(squeeze_name(e), wanted).alias("score"), (-i).alias("place"), e.alias("name")),
+        squeezed,
+        lambda e, i: F.struct(similarity(e["form"], wanted).alias("score"), (-i).alias("place"), e["name"].alias("name")),
     )
     best = F.array_max(scored)
     match = (

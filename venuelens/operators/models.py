@@ -63,10 +63,9 @@ def _numeric_stage(fitted: NumericFit, cols: Sequence[str], scaled: bool) -> tup
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__"), [f"{c}__x" for c in cols]
 
 
-def _text_stages(df: DataFrame, col: str, size: int = 500) -> tuple[list, str]:
+def _text_stages(df: DataFrame, col: str, size: int = 500, min_df: int = 2) -> tuple[list, str]:
     """TF-IDF with smooth idf and unit length; only the vocabulary (``size`` terms) reaches the driver."""
-    texts = df.limit(10).count()
-    terms = tfidf_vocabulary(df, col, size, 2 if texts >= 10 else 1).collect()
+    terms = tfidf_vocabulary(df, col, size, min_df).collect()
     if not terms:
         raise ValueError(f"no terms in {col}")
     idf = Vectors.dense([row["idf"] for row in terms])
@@ -96,11 +95,16 @@ def _apply(stages: Sequence, df: DataFrame) -> DataFrame:
     return df
 
 
-def feature_stages(df: DataFrame, spec: FeatureSpec, scaled: bool, numeric: NumericFit | None = None) -> list:
-    """Fitted stages that end in the vector column ``features``; ``numeric`` may come from an earlier fit."""
+def feature_stages(
+    df: DataFrame, spec: FeatureSpec, scaled: bool, numeric: NumericFit | None = None, min_df: int = 2
+) -> list:
+    """Fitted stages that end in the vector column ``features``; ``numeric`` may come from an earlier fit.
+
+    ``min_df``: documents that a term of the text must occur in.
+    """
     stages, inputs = [], []
     if spec.text:
-        more, name = _text_stages(df, spec.text)
+        more, name = _text_stages(df, spec.text, min_df=min_df)
         stages += more
         inputs.append(name)
     if spec.numeric:
@@ -128,12 +132,13 @@ def fit_ridge(
     label: str = "label",
     alpha: float = 1.0,
     numeric: NumericFit | None = None,
+    min_df: int = 2,
 ) -> PipelineModel:
     """Ridge regression: squared error plus ``alpha`` times the squared weights, intercept free.
 
     Spark divides the error by n and measures the penalty on a label of unit deviation, hence the factor.
     """
-    stages = feature_stages(df, spec, True, numeric)
+    stages = feature_stages(df, spec, True, numeric, min_df)
     size = df.agg(F.count(label).alias("n"), F.stddev_pop(F.col(label).cast("double")).alias("std")).first()
     ridge = LinearRegression(
         labelCol=label,
@@ -201,8 +206,8 @@ def compare_models(
     """Metrics per model on the test rows, and the error text of each model that failed.
 
     The loop is over a handful of candidates. Every candidate is fitted and scored in its own attempt,
-    so one failure does not stop the others. Candidates with the same numeric columns share their
-    medians and scaling.
+    so one failure does not stop the others: it gives a row with its reason in ``error`` and no figures.
+    Candidates with the same numeric columns share their medians and scaling.
     """
     scored, errors, numeric = [], {}, {}
     for name, (fit, spec) in models.items():
@@ -221,10 +226,14 @@ def compare_models(
         predictions = predictions.unionByName(rows)
     metrics = evaluate_predictions(
         predictions, key, target, "predicted_target", "label", "predicted_target_log", ["model_name"]
-    )
+    ).withColumn("error", F.lit(None).cast("string"))
+    if errors:
+        failed = metrics.sparkSession.createDataFrame(sorted(errors.items()), "model_name string, error string")
+        metrics = metrics.unionByName(failed, allowMissingColumns=True)
     return metrics, errors
 
 
+# Columns of the input that prediction tables carry along.
 CARRIED = (
     "clothing_id",
     "title",

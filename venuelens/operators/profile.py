@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from venuelens.functions.text import char_count, combined_text, is_blank, text_or_empty, word_count
 from venuelens.operators.dedup import duplicate_digests, row_digest
+from venuelens.operators.distribution import binned_mean
 from venuelens.operators.materialize import materialize
 from venuelens.operators.quantiles import column_quantiles, extent, number, quantiles_of_counts
 
@@ -89,6 +90,8 @@ def number_profile(df: DataFrame, cols: Sequence[str], approx: bool = False) ->
                     n >= 3, F.coalesce(F.skewness(x) * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0)), F.lit(0.0))
                 ).alias("skewness"),
                 *extent(x),
+                F.min(x).alias("low"),
+                F.max(x).alias("high"),
                 *([F.percentile_approx(x, 0.5).alias("approx")] if approx else []),
             ).alias(c)
         )
@@ -264,30 +267,46 @@ def profile_report(
     categorical: Sequence[str] = (),
     missing_threshold: float = 0.3,
     k: int = 10,
+    measured: bool = False,
+    rating: str | None = None,
+    age: str | None = None,
 ) -> DataFrame:
     """All profiles of a review table as one long table (section, column_name, metric, value, label).
 
     The table is read once: what the profiles need of a row (numbers, categories, text measures and a
-    digest) is written as a narrow table, and every profile works on that.
+    digest) is written as a narrow table, and every profile works on that. Where texts would travel through joins
+    to get here, measure them first: with ``measured``, ``df`` has digests in place of its texts, and the columns of
+    ``measure_texts`` of each text and of ``combined_text``.
+
+    With ``rating`` and ``age`` the report has the mean target by rating, and by bins of age and of both text lengths.
+    Absent text columns are reported as warnings.
     """
-    texts = {c: F.col(c) for c in text}
-    if len(text) == 2:
-        texts["combined_text"] = combined_text(*texts.values())
-    marked = [F.when(F.col(c).isNotNull(), F.lit(1)).alias(c) if c in text else F.col(c) for c in df.columns]
-    measures = measure_texts(texts, "empty")
-    narrow = materialize(
-        df.select(*marked, *[m.alias(name) for name, m in measures.items()], F.unhex(row_digest(df)).alias("_digest"))
-    )
+    absent = [c for c in text if c not in df.columns]
+    text = [c for c in text if c in df.columns]
+    names = [*text, *(["combined_text"] if len(text) == 2 else [])]
+    columns = [c for c in df.columns if "__" not in c] if measured else df.columns
+    if measured:
+        measures = [F.col(f"{c}__{m}") for c in names for m in ("chars", "words", "missing", "blank")]
+    else:
+        texts = {c: F.col(c) for c in text}
+        if len(text) == 2:
+            texts["combined_text"] = combined_text(*texts.values())
+        measures = [m.alias(name) for name, m in measure_texts(texts, "empty").items()]
+    marked = [F.when(F.col(c).isNotNull(), F.lit(1)).alias(c) if c in text else F.col(c) for c in columns]
+    df = df if not measured else df.select(*columns, *measures)
+    narrow = materialize(df.select(*marked, *measures, F.unhex(row_digest(df.select(*columns))).alias("_digest")))
+    # Texts are texts in the overview, whatever stands for them here.
+    described = df.select(*[F.col(c).cast("string").alias(c) if c in text else F.col(c) for c in columns])
     numbers = number_profile(narrow, [target, *numeric]).withColumnRenamed("zero_share_all", "zero_share")
     count, missing = F.col("count"), F.col("missing_count")
     share = F.when(F.col("mostly_missing"), F.col("missing_share"))
     copies = duplicate_digests(narrow, "_digest").withColumn("column_name", F.lit("*"))
     pairs = corr_matrix(narrow, [*numeric, target]).withColumnRenamed("col_a", "column_name")
     parts = [
-        _metrics(overview(df, narrow), "overview", ["row_count"], F.col("data_type")),
+        _metrics(overview(described, narrow), "overview", ["row_count"], F.col("data_type")),
         _metrics(copies, "overview", ["duplicate_rows"]),
         _metrics(
-            missing_profile(narrow.select(*df.columns), missing_threshold),
+            missing_profile(narrow.select(*columns), missing_threshold),
             "missing",
             ["missing_count", "missing_share", ("warning", "mostly_missing_share", share)],
         ),
@@ -304,7 +323,7 @@ def profile_report(
             ],
         ),
         _metrics(numbers.filter(F.col("column_name") != target), "numeric", SPREAD),
-        _metrics(measured_text_profile(narrow, list(texts)), "text", ["missing_count", "blank_count", *_LENGTHS]),
+        _metrics(measured_text_profile(narrow, names), "text", ["missing_count", "blank_count", *_LENGTHS]),
         _metrics(pairs, "correlation", ["corr"], F.col("col_b")),
     ]
     if categorical:
@@ -312,6 +331,19 @@ def profile_report(
         first = lambda c: F.when(F.col("value_rank") == 1, F.col(c))
         totals = [("category", c, first(c)) for c in ("distinct_count", "missing_count")]
         parts.append(_metrics(values, "category", ["value_count", *totals], F.coalesce("value", F.lit("<missing>"))))
+    if rating:
+        means = narrow.filter(F.col(rating).isNotNull()).groupBy(rating).agg(F.avg(target).alias("mean_target"), F.count("*").alias("row_count"))
+        named = means.select(F.lit(rating).alias("column_name"), "mean_target", "row_count", F.col(rating).cast("string").alias("of"))
+        parts.append(_metrics(named, "target_relation", ["mean_target", "row_count"], F.col("of")))
+    for source, name in [(age, "age"), *[(f"{c}__chars", f"{c}_chars") for c in text]]:
+        if source and age:
+            bins = binned_mean(narrow, source, target).select(
+                F.lit(name).alias("column_name"), F.col("mean").alias("mean_target"), F.col("row_count"), F.col("bin").cast("string").alias("of")
+            )
+            parts.append(_metrics(bins, "target_relation", ["mean_target", "row_count"], F.col("of")))
+    if absent:
+        lost = df.sparkSession.createDataFrame([(c, 1.0) for c in absent], "column_name string, absent_column double")
+        parts.append(_metrics(lost, "warning", ["absent_column"]))
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)

@@ -6,7 +6,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from venuelens.operators.bins import Ranges, add_bin, default_parts, find_ranges
 from venuelens.operators.materialize import materialize
@@ -71,7 +71,7 @@ def quantiles_of_counts(
     for name, prob in probs.items():
         place = F.lit(float(prob)) * (F.col("n") - 1)
         low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
-        columns.append((low + (high - low) * (place - F.floor(place))).alias(name))
+        columns.append(F.when(low == high, low).otherwise(low + (high - low) * (place - F.floor(place))).alias(name))
     return picked.select(*columns)
 
 
@@ -101,14 +101,15 @@ def number(c: str) -> Column:
 
 def extent(x: Column) -> list[Column]:
     """What bounds the number of distinct values of a column cheaply."""
-    return [F.count(x).alias("n"), F.min(x).alias("low"), F.max(x).alias("high")]
+    return [F.count(x).alias("n"), F.approx_count_distinct(x, 0.05).alias("distinct")]
 
 
-def _distinct_bound(seen: Row, kind: T.DataType) -> int:
-    """An upper bound of distinct values: the number of rows, or the range of whole numbers."""
-    if seen["n"] and isinstance(kind, T.IntegralType):
-        return min(seen["n"], int(seen["high"] - seen["low"]) + 1)
-    return seen["n"]
+def _distinct_bound(seen: Row) -> int:
+    """The number of distinct values by a sketch, with four standard errors on top.
+
+    Whichever way it decides, the quantiles are exact and the work is bounded.
+    """
+    return int(1.2 * seen["distinct"])
 
 
 def _outline(x: Column) -> Column:
@@ -205,7 +206,7 @@ def _search(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float]) -> d
     for c, spots in places.items():
         for q, spot in spots.items():
             low, high = searches[c, math.floor(spot)].value, searches[c, math.ceil(spot)].value
-            result[c][q] = low + (high - low) * (spot - math.floor(spot))
+            result[c][q] = low if low == high else low + (high - low) * (spot - math.floor(spot))
     return result
 
 
@@ -214,13 +215,13 @@ def column_quantiles(
 ) -> dict[str, dict[str, float | None]]:
     """Exact interpolated quantiles of whole columns.
 
-    Columns that have at most ``SMALL`` distinct values for sure shrink to counts per value, all in one
+    Columns that have at most about ``SMALL`` distinct values shrink to counts per value, all in one
     pass, and Spark's exact percentile reads those; other columns are searched. ``extents`` holds the
     ``extent`` of every column where the caller has it.
     """
     if extents is None:
         extents = df.agg(*[F.struct(*extent(number(c))).alias(c) for c in cols]).first()
-    distinct = {c: _distinct_bound(extents[c], df.schema[c].dataType) for c in cols}
+    distinct = {c: _distinct_bound(extents[c]) for c in cols}
     result: dict[str, dict[str, float | None]] = {c: dict.fromkeys(probs) for c in cols}
     few = [c for c in cols if 0 < distinct[c] <= SMALL]
     many = [c for c in cols if distinct[c] > SMALL]

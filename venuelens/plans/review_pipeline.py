@@ -15,7 +15,7 @@ from venuelens.sources.writers import write_predictions
 
 KEY, TARGET = "row_id", "positive_feedback_count"
 CATEGORIES = ("division_name", "department_name", "class_name")
-# Numeric features of the review models; clothing_id is one of them although it is a label.
+# Numeric features of the review models; clothing_id is one of them although it is a label.
 NUMERIC = (
     "clothing_id",
     "age",
@@ -57,11 +57,12 @@ def run_models(
 
     The prepared rows are written once: every candidate then reads only the columns it needs.
     """
+    prepared = materialize(prepared)
     valid = fl.valid_target(prepared, TARGET)
     valid, numbers = fl.with_constant_feature(valid, numeric)
     types = fl.feature_types(valid, TARGET, [KEY], categorical)
     spec = ml.FeatureSpec(tuple(numbers), tuple(types["categorical"]), next(iter(types["text"]), None))
-    rows = materialize(ml.with_label(valid, TARGET))
+    rows = ml.with_label(valid, TARGET)
     train, test = ft.split(rows, KEY)
     models = ml.candidates(spec)
     metrics, errors = ml.compare_models(train, test, models, KEY, TARGET)
@@ -71,7 +72,7 @@ def run_models(
 def choose_model(prepared: DataFrame, numeric: Sequence[str] = NUMERIC) -> Choice:
     """The best candidate, refitted on all valid rows with its own columns."""
     metrics, _, run = run_models(prepared, numeric)
-    best = materialize(best_model(metrics))
+    best = materialize(best_model(metrics.filter("error IS NULL").drop("error")))
     name = best.first()["model_name"]
     fit, spec = run["models"][name]
     return Choice(name, fit(run["rows"], spec), best, run["rows"])

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from venuelens.functions import numbers as nm, text as tx
 from venuelens.operators import categories as ct, distribution as ds, evaluate as ev, features as ft, filters as fl, models as ml
 from venuelens.operators import profile as pf, ranking as rk
-from venuelens.plans.bridge import review_texts, reviews, table
+from venuelens.plans.bridge import measured_reviews, narrow_reviews, review_lengths, review_texts, reviews, table
 from venuelens.plans.registry import query
 from venuelens.plans.review_pipeline import NUMERIC, prepare_reviews, run_models
 from venuelens.plans.venue_queries import binned_sql, r6, rounded_bins
@@ -83,7 +83,7 @@ def _missing_sql(threshold: float) -> str:
 
 @query(_missing_sql(0.3))
 def missing_profile(spark, folder):
-    rows = pf.missing_profile(reviews(spark, folder), 0.3)
+    rows = pf.missing_profile(measured_reviews(spark, folder).select(*COLUMNS), 0.3)
     return rows.select("column_name", "missing_count", r6("missing_share"), "mostly_missing")
 
 
@@ -182,6 +182,7 @@ def category_profile_present(spark, folder):
 
 
 REPORT_NUMERIC = ["age", "rating", "recommended_ind"]
+RELATED = [("age", "age"), ("title_chars", "length(coalesce(title, ''))"), ("review_text_chars", "length(coalesce(review_text, ''))")]
 
 
 def _report_sql() -> str:
@@ -193,6 +194,11 @@ def _report_sql() -> str:
             f"SELECT '{section}' AS section, column_name, '{m}' AS metric, round(CAST({m} AS DOUBLE), 6) AS value,"
             f" CAST({label} AS VARCHAR) AS label FROM {source}" for m in metrics)
 
+    def relation(name: str, x: str) -> str:
+        binned = binned_sql(f"(SELECT {x} AS x, {target} AS y FROM reviews)", "x", "y", 20)
+        return f"""SELECT 'target_relation', '{name}', m, round(v, 6), CAST(bin AS VARCHAR) FROM (SELECT bin, unnest(['mean_target', 'row_count']) AS m,
+ unnest([mean, row_count]) AS v FROM (WITH {binned}))"""
+
     pairs = [*REPORT_NUMERIC, target]
     corr = " UNION ALL ".join(
         f"SELECT '{a}' AS column_name, '{b}' AS col_b, corr({a}, {b}) AS corr FROM reviews"
@@ -214,12 +220,17 @@ UNION ALL {long('correlation', 'pairs', ['corr'], 'col_b')}
 UNION ALL SELECT 'warning', column_name, 'mostly_missing_share', missing_share, NULL FROM lost WHERE mostly_missing
 UNION ALL SELECT 'warning', column_name, 'target_missing', missing_count, NULL FROM goal WHERE missing_count > 0
 UNION ALL {long('category', '(SELECT * FROM top_values WHERE value_rank = 1)', ['distinct_count', 'missing_count'])}
-UNION ALL {long('category', 'top_values', ['value_count'], "coalesce(value, '<missing>')")}"""
+UNION ALL {long('category', 'top_values', ['value_count'], "coalesce(value, '<missing>')")}
+UNION ALL SELECT 'target_relation', 'rating', m, round(v, 6), CAST(rating AS VARCHAR) FROM (SELECT rating, unnest(['mean_target', 'row_count']) AS m,
+ unnest([avg({target}), count(*)]) AS v FROM reviews WHERE rating IS NOT NULL GROUP BY rating)
+UNION ALL {" UNION ALL ".join(relation(c, x) for c, x in RELATED)}"""
 
 
 @query(_report_sql())
 def profile_report(spark, folder):
-    report = pf.profile_report(reviews(spark, folder), "positive_feedback_count", REPORT_NUMERIC, categorical=FILLED)
+    report = pf.profile_report(
+        measured_reviews(spark, folder), "positive_feedback_count", REPORT_NUMERIC, categorical=FILLED, measured=True, rating="rating", age="age"
+    )
     return report.select("section", "column_name", "metric", r6("value"), "label")
 
 
@@ -238,9 +249,8 @@ def target_by_age(spark, folder):
 @query("WITH measured AS (SELECT length(coalesce(review_text, '')) AS chars, positive_feedback_count AS target FROM reviews), "
        + binned_sql("measured", "chars", "target", 20))
 def target_by_review_length(spark, folder):
-    measured = reviews(spark, folder).select(
-        tx.char_count(tx.text_or_empty(F.col("review_text"))).alias("chars"), F.col("positive_feedback_count").alias("target")
-    )
+    targets = narrow_reviews(spark, folder).select("row_id", F.col("positive_feedback_count").alias("target"))
+    measured = review_lengths(spark, folder).join(targets, "row_id").select("chars", "target")
     return rounded_bins(ds.binned_mean(ml.materialize(measured), "chars", "target", 20))
 
 
@@ -445,9 +455,8 @@ RIDGE_SPEC = ml.FeatureSpec(("age", "review_text_len_chars"))
 
 def _ridge_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Features for the two-feature ridge; texts are measured before anything is joined or sorted."""
-    rows = reviews(spark, folder).withColumn(
-        "review_text_len_chars", F.coalesce(tx.char_count(F.col("review_text")), F.lit(0))
-    )
+    lengths = review_lengths(spark, folder).withColumnRenamed("chars", "review_text_len_chars")
+    rows = narrow_reviews(spark, folder).join(lengths, "row_id")
     kept = rows.select("row_id", "clothing_id", "age", "rating", "review_text_len_chars", "positive_feedback_count")
     return ml.materialize(ml.with_label(kept, "positive_feedback_count"))
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from venuelens.functions.arrays import parse_list_text, price_bounds, price_length, split_list, struct_field
 from venuelens.functions.numbers import decimal_comma
 from venuelens.operators import categories as ct, dedup as dd, distribution as ds, encoding as en, filters as fl
+from venuelens.operators.materialize import materialize
 from venuelens.operators.profile import corr_matrix
 
 PRICE_SIGNS = ("$", "$$", "$$$", "$$$$")
@@ -25,7 +28,7 @@ def clean_listings(scraped: DataFrame) -> DataFrame:
 
 def listing_study(scraped: DataFrame, min_count: int = 10) -> dict[str, DataFrame]:
     """All tables of the scraped-venue study by name."""
-    venues = clean_listings(scraped)
+    venues = materialize(clean_listings(scraped))
     exploded = ct.explode_values(venues, "cuisine_type")
     stats = ct.category_stats(exploded, "cuisine_type", "rating").filter(F.col("count") >= min_count)
     frequent = fl.drop_rare(exploded, "cuisine_type", "rating", min_count)
@@ -47,19 +50,27 @@ def listing_study(scraped: DataFrame, min_count: int = 10) -> dict[str, DataFram
     }
 
 
-def encode_businesses(batches: list[DataFrame]) -> DataFrame:
-    """API responses to one row per business with count columns for transactions, categories and price."""
+def encode_businesses(
+    batches: list[DataFrame], transactions: Sequence[str] | None = None, categories: Sequence[str] | None = None
+) -> DataFrame:
+    """API responses to one row per business with counts of transactions and categories and flags of the price.
+
+    Listed values get a column each; without a list the counts are a map per row, ``<column>_counts``, which has room for
+    any number of values.
+    """
     rows = dd.union_batches(batches).withColumn("categories", struct_field(F.col("categories"), "title"))
     distinct = dd.dedup_by_key(
         rows, "id", [F.col("review_count").desc(), F.to_json(F.struct("*"))]
     ).select("id", "name", "is_closed", "review_count", "categories", "rating", "transactions", "price")
-    encoded = en.one_hot_array(en.one_hot_array(distinct, "transactions"), "categories")
-    return en.one_hot_scalar(encoded, "price", PRICE_SIGNS)
+    for col, values in (("transactions", transactions), ("categories", categories)):
+        wide = en.sparse_counts(distinct, col, f"{col}_counts") if values is None else en.one_hot_array(distinct, col, values)
+        distinct = wide
+    return en.one_hot_scalar(distinct, "price", PRICE_SIGNS)
 
 
 def business_study(listed: DataFrame, min_count: int = 10, popular_count: int = 20) -> dict[str, DataFrame]:
     """All tables of the API-venue study; ``categories`` is the text of a list."""
-    venues = fl.fill_missing(listed, {"price": ""}).withColumn("categories", parse_list_text(F.col("categories")))
+    venues = materialize(fl.fill_missing(listed, {"price": ""}).withColumn("categories", parse_list_text(F.col("categories"))))
     exploded = ct.explode_values(venues, "categories")
     stats = ct.category_stats(exploded, "categories", "rating")
     frequent = fl.drop_rare(exploded, "categories", "rating", min_count)

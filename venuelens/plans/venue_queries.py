@@ -15,8 +15,9 @@ from venuelens.sources.readers import parse_responses
 
 SCRAPED = ["rating", "reviews_count", "cuisine_type", "price", "is_sponsored"]
 # Dictionary of the matching query: names as they should be written.
-VENUE_WORDS = ["Small", "Large", "Old", "New", "Red", "Blue", "Hot", "Cold", "Gismo", "Wijet", "Rings", "Bolts", "Anvill"]
-MARKED_WORDS = ["small", "large", "old", "new", "red", "blue", "hot", "cold", "ring", "bolt", "gear", "rod"]
+VENUE_WORDS = ["small", "large", "Old", "New", "Red", "Blue", "Hot", "Cold", "Gismo", "Wijet", "Rings", "bolt", "Anvill"]
+MARKED_WORDS = ["small", "large", "old", "new", "red", "blue", "hot", "cold", "ring", "bolt", "gear", "rod",
+                "anvil", "gizmo", "plate", "widget"]
 
 EXPLODED = """exploded AS (
  SELECT restaurant_id, rating, unnest(string_split(cuisine_type, ', ')) AS cuisine_type FROM restaurants)"""
@@ -100,14 +101,17 @@ def one_hot_categories(spark, folder):
 
 @query("""SELECT restaurant_id, CAST(coalesce(price = '$', FALSE) AS INTEGER) AS price_1,
  CAST(coalesce(price = '$$$$', FALSE) AS INTEGER) AS price_4,
- CAST(coalesce(price = '$$ - $$$', FALSE) AS INTEGER) AS price_range FROM restaurants""")
+ CAST(coalesce(price = '$$ - $$$', FALSE) AS INTEGER) AS price_range,
+ CAST(coalesce(price = '$$-$$$', FALSE) AS INTEGER) AS price_tight FROM restaurants""")
 def one_hot_price(spark, folder):
-    wide = en.one_hot_scalar(restaurants(spark, folder).select("restaurant_id", "price"), "price")
+    listed = ["$", "$$$$", "$$ - $$$", "$$-$$$"]
+    wide = en.one_hot_scalar(restaurants(spark, folder).select("restaurant_id", "price"), "price", listed)
     return wide.select(
         "restaurant_id",
         F.col("`$`").alias("price_1"),
         F.col("`$$$$`").alias("price_4"),
         F.col("`$$ - $$$`").alias("price_range"),
+        F.col("`$$-$$$`").alias("price_tight"),
     )
 
 
@@ -306,19 +310,20 @@ _SCORE = "(greatest(length(a), length(b)) - levenshtein(a, b)) / CAST(greatest(l
 
 @query(f"""
 WITH names(name, place) AS (VALUES {", ".join(f"('{w}', {i})" for i, w in enumerate(VENUE_WORDS))}),
-words AS (SELECT p_partkey, string_split(p_name, ' ')[1] AS word FROM part),
+words AS (SELECT p_partkey, unnest([1, 2]) AS place_no, unnest([string_split(p_name, ' ')[1], string_split(p_name, ' ')[2]]) AS word FROM part),
 kinds AS (SELECT DISTINCT word FROM words),
 pairs AS (SELECT word, name, place, lower(name) AS a, lower(word) AS b FROM kinds CROSS JOIN names),
-scored AS (SELECT word, name, place, a = b AS same, {_SCORE} AS score FROM pairs),
-best AS (SELECT word, name, same, score, row_number() OVER (PARTITION BY word ORDER BY same DESC, score DESC, place) AS nth FROM scored)
-SELECT p_partkey, words.word, CASE WHEN same OR score >= 0.6 THEN name END AS matched_value,
- CASE WHEN same THEN 'normalised' WHEN score >= 0.6 THEN 'closest' ELSE 'none' END AS match_type,
+scored AS (SELECT word, name, place, word = name AS equal, a = b AS same, {_SCORE} AS score FROM pairs),
+best AS (SELECT word, name, equal, same, score,
+ row_number() OVER (PARTITION BY word ORDER BY equal DESC, same DESC, score DESC, place) AS nth FROM scored)
+SELECT p_partkey, CAST(place_no AS INTEGER) AS place_no, words.word, CASE WHEN same OR score >= 0.6 THEN name END AS matched_value,
+ CASE WHEN equal THEN 'exact' WHEN same THEN 'normalised' WHEN score >= 0.6 THEN 'closest' ELSE 'none' END AS match_type,
  CASE WHEN same THEN 1.0::DOUBLE WHEN score >= 0.6 THEN round(score, 6) END AS match_score
 FROM words JOIN best ON best.word = words.word AND nth = 1""")
 def match_values(spark, folder):
-    words = table(spark, folder, "part").select("p_partkey", F.element_at(F.split("p_name", " "), 1).alias("word"))
-    matched = mt.match_values(words, "word", VENUE_WORDS, 0.6)
-    return matched.select("p_partkey", "word", "matched_value", "match_type", r6("match_score"))
+    words = table(spark, folder, "part").select("p_partkey", F.posexplode(F.split("p_name", " ")).alias("place_no", "word"))
+    matched = mt.match_values(words.withColumn("place_no", F.col("place_no") + 1), "word", VENUE_WORDS, 0.6)
+    return matched.select("p_partkey", "place_no", "word", "matched_value", "match_type", r6("match_score"))
 
 
 LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

@@ -73,12 +73,29 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     return raw.select(*[_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
 
 
-def read_reviews(spark: SparkSession, path: str, schema: T.StructType = REVIEW_SCHEMA) -> DataFrame:
-    return read_csv(spark, path, schema)
+def read_reviews(
+    spark: SparkSession, path: str, schema: T.StructType = REVIEW_SCHEMA, multi_line: bool = True
+) -> DataFrame:
+    """Review files; their texts may hold line breaks."""
+    return read_csv(spark, path, schema, multi_line)
 
 
-def read_restaurants(spark: SparkSession, path: str, schema: T.StructType = RESTAURANT_SCHEMA) -> DataFrame:
-    return read_csv(spark, path, schema)
+def read_restaurants(
+    spark: SparkSession, path: str, schema: T.StructType = RESTAURANT_SCHEMA, multi_line: bool = False
+) -> DataFrame:
+    """Venue files; no field holds a line break, so large files are split over tasks."""
+    return read_csv(spark, path, schema, multi_line)
+
+
+def parse_csv(df: DataFrame, col: str, schema: T.StructType) -> DataFrame:
+    """Parse a column of CSV lines and put its typed fields next to the other columns.
+
+    Missing-value tokens and unreadable numbers become NULL, as in the file readers.
+    """
+    kept = [c for c in df.columns if c != col]
+    texts = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
+    parsed = df.select(*kept, F.from_csv(F.col(col), texts, {"quote": '"', "escape": '"'}).alias("_csv"))
+    return parsed.select(*kept, *[_typed(F.col("_csv")[f.name], f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_businesses(spark: SparkSession, path: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from venuelens.sources.cards import CardRules, extract_cards, extract_listing_cards
 
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PAGE_SCHEMA = "page_id BIGINT, url STRING, html STRING"
 
 
@@ -15,9 +16,10 @@ def ingest_pages(
 ) -> StreamingQuery:
     """Process all pages landed since the last run, each page once, and stop.
 
-    Pages carry no event time, so there is no watermark and the state keeps every page key. Without
-    rules the cards are restaurant listings.
+    Pages carry no event time, so there is no watermark and the state keeps every page key: it lives in RocksDB, on
+    disk and in the checkpoint, not in memory. Without rules the cards are restaurant listings.
     """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
     pages = spark.readStream.schema(PAGE_SCHEMA).parquet(landing).dropDuplicates(["page_id"])
     cards = extract_cards(pages, rules) if rules else extract_listing_cards(pages)
     return (
