@@ -66,12 +66,39 @@ def test_ordinal_ranks_break_ties_by_key_in_groups(spark):
 
 
 def test_a_frequent_value_is_spread_over_cells(spark):
-    df = frame(spark, [1.0] * 3000)
-    ranges = rk.find_ranges(df, {"v": "v", "k": "id"}, 16)
-    assert ranges["v"].single
-    subs = rk.add_bin(df, "id", ranges["k"], "sub").groupBy("sub").count()
-    assert subs.count() == 16
-    assert subs.agg(F.max("count")).first()[0] < 3000 / 8
+    cells = rk.ordered_cells(frame(spark, [1.0] * 3000), ["v", "id"], 16).groupBy("_cell").count()
+    assert cells.count() == 16
+    assert cells.agg(F.max("count")).first()[0] < 3000 / 8
+
+
+@pytest.mark.parametrize("frequent", [60, 2000])
+def test_cells_do_not_grow_with_frequent_values(spark, frequent):
+    df = spark.range(6000).select("id", (F.col("id") % frequent).cast("double").alias("v"))
+    assert rk.ordered_cells(df, ["v", "id"], 256).select("_cell").distinct().count() <= 256
+    got = rk.add_positions(df, "v", "id", parts=64).toPandas()
+    s = got.set_index("id").v
+    assert np.allclose(got.set_index("id").rank_less + 1, s.rank(method="min"))
+    assert np.allclose(got.set_index("id").rank_ties, s.groupby(s).transform("size"))
+
+
+def test_text_keys_large_numbers_and_decimals(spark):
+    values = [2**53 + (i % 3) for i in range(90)]
+    df = spark.createDataFrame([(f"k{i:03d}", v) for i, v in enumerate(values)], "k string, v long")
+    want = pd.DataFrame({"k": [f"k{i:03d}" for i in range(90)], "v": values}).sort_values(["v", "k"]).k.tolist()
+    for kind in ("bigint", "decimal(20,0)"):
+        rows = rk.add_positions(df.withColumn("v", F.col("v").cast(kind)), "v", "k", parts=7).orderBy("rank_ordinal").collect()
+        assert [r.k for r in rows] == want
+        assert {(int(r.v) - 2**53, r.rank_less, r.rank_ties) for r in rows} == {(0, 0, 30), (1, 30, 30), (2, 60, 30)}
+
+
+@pytest.mark.parametrize("n", [1, 9, 10, 25, 400])
+def test_top_decile_breaks_ties_at_the_cut_by_key(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(int(k), float(v)) for k, v in zip(rng.permutation(n) * (2**33) - 2**40, rng.integers(0, 4, n))]
+    df = spark.createDataFrame([*rows, (1, None)], "k long, v double")
+    want = sorted(rows, key=lambda r: (r[1], r[0]))[-max(1, n // 10) :]
+    assert sorted(map(tuple, rk.top_decile(df, "v", "k").collect())) == sorted(want)
+    assert "Window" not in plan_of(rk.top_decile(df, "v", "k"))
 
 
 def test_row_level_plan_has_one_shuffle_of_the_rows(spark):

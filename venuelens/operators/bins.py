@@ -10,7 +10,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F
 
 EXACT_LIMIT = 2.0**53
-MAX_PARTS = 4000
 
 
 @dataclass(frozen=True)
@@ -23,7 +22,7 @@ class Ranges:
 
 def default_parts(df: DataFrame) -> int:
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(MAX_PARTS, max(16, 2 * tasks))
+    return max(16, 2 * tasks)
 
 
 def find_ranges(df: DataFrame, cols: Mapping[str, str], parts: int) -> dict[str, Ranges]:

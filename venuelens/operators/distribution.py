@@ -113,8 +113,8 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     ranges = count_ranges(collapsed)
     quartiles = quantiles_of_counts(collapsed, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [group], ranges)
     counts = add_bin(collapsed, "_v", ranges, "_bin")
-    bins = [F.lit(i) for i in range(len(ranges.cuts) + 1)]
-    fences = quartiles.withColumn("_bin", F.explode(F.array(*bins)))
+    # Quartiles go to the bins that a group has, not to all: no more rows than distinct values.
+    fences = counts.select(group, "_bin").distinct().join(quartiles, group)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("_v").between(F.col("q1") - reach, F.col("q3") + reach)
     return (

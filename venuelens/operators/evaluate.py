@@ -44,7 +44,7 @@ def _ranked_twice(
         .withColumn("_actual_rank", F.col("rank_ordinal"))
         .drop(*RANK_COLUMNS)
     )
-    return add_positions(first, predicted, key, groups, parts, base=df)
+    return add_positions(first, predicted, key, groups, parts)
 
 
 def regression_metrics(

@@ -7,39 +7,44 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_KEPT: list[str] = []
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local session, where every task sees the same disk, gets a folder of its own.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which every machine must see.
+
+    Where it is unset, a local session is given a temporary one; on a cluster that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        return None
-    known = spark.conf.get("venuelens.local.dir", None)
-    if known is None:
-        known = tempfile.mkdtemp(prefix="venuelens-")
-        spark.conf.set("venuelens.local.dir", known)
-    return known
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        folder = "file://" + tempfile.mkdtemp(prefix="venuelens-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write a frame to Parquet once and read it back.
 
-    Later passes then prune columns and survive lost executors. Without a shared folder the frame is
-    returned as it is: the passes recompute it, with the same result. The table lives as long as the session.
+    Later passes then prune columns and survive lost executors. The table goes with ``release``, or when the session ends.
     """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        return df
-    path = f"{folder.rstrip('/')}/venuelens-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/venuelens-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _delete_at_exit(df.sparkSession, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _KEPT.append(path)
+    target, files = _target(spark, path)
+    files.deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all tables kept so far; to be called when no result that reads them is needed any more."""
+    while _KEPT:
+        target, files = _target(spark, _KEPT.pop())
+        files.delete(target, True)
 
 
-def _delete_at_exit(spark: SparkSession, path: str) -> None:
+def _target(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())

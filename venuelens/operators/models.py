@@ -247,13 +247,21 @@ CARRIED = (
 
 
 def prediction_table(
-    model: PipelineModel, df: DataFrame, key: str, target: str, model_name: str, carried: Sequence[str] = CARRIED
+    model: PipelineModel,
+    df: DataFrame,
+    key: str,
+    target: str,
+    model_name: str,
+    carried: Sequence[str] = CARRIED,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Scores, errors and ranks of all rows next to the carried columns of the input.
 
-    Ranks are formed on keys and scores alone; the carried columns, which may hold whole texts, join in by key.
+    Ranks are formed on keys and scores alone; the carried columns, which may hold whole texts, join in by key. They come
+    from ``source`` where the scored rows do not have them.
     """
-    extra = [c for c in carried if c in df.columns]
+    source = df if source is None else source
+    extra = [c for c in carried if c in source.columns]
     scores = materialize(score(model, df, [key, target]))
     actual = F.col(target).cast("double")
     ranked = add_predicted_ranks(scores, "predicted_target", key).select(
@@ -270,4 +278,4 @@ def prediction_table(
     )
     if not extra:
         return ranked
-    return ranked.join(df.select(F.col(key).alias("row_index"), *extra), "row_index")
+    return ranked.join(source.select(F.col(key).alias("row_index"), *extra), "row_index")

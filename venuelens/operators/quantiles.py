@@ -165,6 +165,18 @@ class _Search:
             self.margin *= 8
 
 
+def values_at_ranks(df: DataFrame, value: Column, ranks: Sequence[int]) -> list[float]:
+    """The values at some places, from 0, of the ascending order of a column's values; counting passes, no shuffle of rows."""
+    narrow = df.select(value.alias("value"))
+    first = narrow.agg(_outline(number("value")).alias("value")).first()
+    searches = {
+        ("value", r): _Search("value", r, first["value"]["n"], first["value"]["low"], first["value"]["high"], first["value"]["grid"])
+        for r in ranks
+    }
+    _run(narrow, searches)
+    return [searches["value", r].value for r in ranks]
+
+
 def _search(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float]) -> dict[str, dict[str, float]]:
     """Quantiles of columns with very many values, without a shuffle of values.
 
@@ -181,6 +193,17 @@ def _search(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float]) -> d
         for spot in spots.values()
         for rank in (math.floor(spot), math.ceil(spot))
     }
+    _run(df, searches)
+    result: dict[str, dict[str, float]] = {c: {} for c in cols}
+    for c, spots in places.items():
+        for q, spot in spots.items():
+            low, high = searches[c, math.floor(spot)].value, searches[c, math.ceil(spot)].value
+            result[c][q] = low if low == high else low + (high - low) * (spot - math.floor(spot))
+    return result
+
+
+def _run(df: DataFrame, searches: Mapping[tuple[str, int], _Search]) -> None:
+    """Pass over the rows until every search has its value."""
     while pending := [s for s in searches.values() if s.value is None]:
         ranges: dict[tuple, list[_Search]] = {}
         for s in pending:
@@ -202,12 +225,6 @@ def _search(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float]) -> d
         for i, ((_, low, high, _), members) in enumerate(ranges.items()):
             for s in members:
                 s.learn(row[f"range_{i}"], low, high)
-    result: dict[str, dict[str, float]] = {c: {} for c in cols}
-    for c, spots in places.items():
-        for q, spot in spots.items():
-            low, high = searches[c, math.floor(spot)].value, searches[c, math.ceil(spot)].value
-            result[c][q] = low if low == high else low + (high - low) * (spot - math.floor(spot))
-    return result
 
 
 def column_quantiles(

@@ -4,77 +4,72 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from venuelens.operators.bins import add_bin, default_parts, find_ranges
+from venuelens.operators.bins import default_parts
+from venuelens.operators.materialize import materialize
+from venuelens.operators.quantiles import values_at_ranks
+
+
+def ordered_cells(df: DataFrame, order: Sequence[str], parts: int) -> DataFrame:
+    """The rows with ``_cell``, a number that follows the given order: each cell is one range of it.
+
+    Spark cuts the ranges from a sample of whole sort keys, so a frequent value is cut by what follows it in the order. The
+    rows are written, because the number is only fixed once it is stored.
+    """
+    return materialize(df.repartitionByRange(parts, *order).withColumn("_cell", F.spark_partition_id()))
 
 
 def add_positions(
-    df: DataFrame,
-    value: str,
-    key: str,
-    groups: Sequence[str] = (),
-    parts: int | None = None,
-    base: DataFrame | None = None,
+    df: DataFrame, value: str, key: str, groups: Sequence[str] = (), parts: int | None = None
 ) -> DataFrame:
     """Add ``rank_n``, ``rank_less``, ``rank_ties`` and ``rank_ordinal`` for an ascending order.
 
-    ``key`` is a unique number that orders ties. Rows are spread over cells that follow the order of
-    (value, key): ranges of values, and ranges of keys inside a value so frequent that it fills a range
-    alone. The row counts of the cells (a bounded table per group) give each cell its offset, so one
-    shuffle and a sort within cells give exact positions. NULL values get NULL positions. ``base`` is a
-    cheaper frame with the same values, keys and groups to take ranges and cell counts from.
+    ``key`` is unique, of any type with an order, and orders ties. Rows are dealt to ``parts`` ranges of (groups, value, key), so a frequent
+    value is spread over tasks like any other rows. The row counts of the cells, of which there are at most ``parts`` and one more for
+    each group, give each cell its offset. Only values that reach over the border of a cell, at most two for each
+    cell, need more: their rows are counted over all cells. NULL values get NULL positions.
     """
-    base = df if base is None else base
     groups = list(groups)
-    parts = parts or default_parts(df)
-    ranges = find_ranges(base, {"v": value, "k": key}, parts)
-    # Different decimals may be the same double, so their ranges are never taken for one value.
-    alone = () if isinstance(df.schema[value].dataType, T.DecimalType) else ranges["v"].single
-    single = F.col("_bin").isin(*alone) if alone else F.lit(False)
-
-    def with_cell(frame: DataFrame) -> DataFrame:
-        binned = add_bin(add_bin(frame, value, ranges["v"], "_bin"), key, ranges["k"], "_sub")
-        return binned.withColumn("_sub", F.when(single | (F.col("_bin") < 0), F.col("_sub")).otherwise(F.lit(0)))
-
-    cell = [*groups, "_bin", "_sub"]
+    named = df.filter(F.col(value).isNotNull())
+    rows = ordered_cells(named, [*groups, value, key], parts or default_parts(df))
+    cell = [*groups, "_cell"]
     whole = Window.partitionBy(*(groups or [F.lit(0)]))
-    before = whole.orderBy("_bin", "_sub").rowsBetween(Window.unboundedPreceding, -1)
-    one_bin = Window.partitionBy(*groups, "_bin")
+    before = whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = (
-        with_cell(base.select(*groups, value, key))
-        .filter("_bin >= 0")
-        .groupBy(*cell)
-        .agg(F.count("*").alias("_cell"))
-        .select(
-            *cell,
-            "_cell",
-            F.coalesce(F.sum("_cell").over(before), F.lit(0)).alias("_before"),
-            F.sum("_cell").over(whole).alias("rank_n"),
-        )
-        .select(
-            *cell,
-            "_before",
-            "rank_n",
-            F.min("_before").over(one_bin).alias("_bin_before"),
-            F.sum("_cell").over(one_bin).alias("_bin_rows"),
-        )
+        rows.groupBy(*cell)
+        .agg(F.count("*").alias("_rows"), F.min(value).alias("_first"), F.max(value).alias("_last"))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+        .withColumn("rank_n", F.sum("_rows").over(whole))
+    )
+    cells = materialize(cells)
+    borders = cells.select(*groups, F.explode(F.array("_first", "_last")).alias(value)).distinct()
+    there = rows.join(borders, [*groups, value]).groupBy(*cell, value).agg(F.count("*").alias("_here"))
+    start = F.col("_before") + F.when(F.col(value) == F.col("_first"), 0).otherwise(F.col("_rows") - F.col("_here"))
+    spans = materialize(
+        there.join(cells, cell)
+        .groupBy(*groups, value)
+        .agg(F.min(start).alias("_start"), F.sum("_here").alias("_ties"))
     )
-    # Without groups the cell table has at most parts * parts rows whatever the data.
-    placed = with_cell(df).join(cells if groups else F.broadcast(cells), cell, "left")
     # Both windows read one sort: the order by (value, key) is also an order by value.
     order = Window.partitionBy(*cell).orderBy(value, key)
     peers = Window.partitionBy(*cell).orderBy(value)
-    return (
-        placed.withColumn("rank_ordinal", F.col("_before") + F.row_number().over(order))
-        .withColumn("_less", F.col("_before") + F.rank().over(peers) - 1)
-        .withColumn("_ties", F.count("*").over(peers.rangeBetween(Window.currentRow, Window.currentRow)))
-        .withColumn("rank_less", F.when(single, F.col("_bin_before")).otherwise(F.col("_less")))
-        .withColumn(
-            "rank_ties", F.when(F.col("rank_n").isNotNull(), F.when(single, F.col("_bin_rows")).otherwise(F.col("_ties")))
-        )
-        .drop("_bin", "_sub", "_before", "_bin_before", "_bin_rows", "_less", "_ties")
+    placed = (
+        rows.withColumn("_row", F.row_number().over(order))
+        .withColumn("_less", F.rank().over(peers) - 1)
+        .withColumn("_same", F.count("*").over(peers.rangeBetween(Window.currentRow, Window.currentRow)))
+        .join(cells.select(*cell, "_before", "rank_n"), cell)
+        .join(spans, [*groups, value], "left")
+    )
+    ranked = placed.select(
+        *df.columns,
+        "rank_n",
+        F.coalesce("_start", F.col("_before") + F.col("_less")).alias("rank_less"),
+        F.coalesce("_ties", "_same").alias("rank_ties"),
+        (F.col("_before") + F.col("_row")).alias("rank_ordinal"),
     )
+    unplaced = df.filter(F.col(value).isNull())
+    return ranked.unionByName(unplaced.withColumns({c: F.lit(None).cast("bigint") for c in RANK_COLUMNS}))
 
 
 RANK_COLUMNS = ("rank_n", "rank_less", "rank_ties", "rank_ordinal")
@@ -99,9 +94,30 @@ def decile_size() -> Column:
 
 
 def top_decile(df: DataFrame, score: str, key: str, groups: Sequence[str] = (), parts: int | None = None) -> DataFrame:
-    """The tenth of the rows with the highest score, at least one row; ties go to the highest key."""
-    return (
-        add_positions(df, score, key, groups, parts)
-        .filter(F.col("rank_ordinal") > F.col("rank_n") - decile_size())
-        .drop(*RANK_COLUMNS)
-    )
+    """The tenth of the rows with the highest score, at least one row; ties go to the highest key.
+
+    With groups this reads ranks. Without, the lowest score and key of the tenth are searched by counting passes: rows are
+    neither sorted nor moved. Scores must be numbers then, and keys whole numbers.
+    """
+    if groups:
+        return (
+            add_positions(df, score, key, groups, parts)
+            .filter(F.col("rank_ordinal") > F.col("rank_n") - decile_size())
+            .drop(*RANK_COLUMNS)
+        )
+    total = df.filter(F.col(score).isNotNull()).count()
+    if not total:
+        return df.limit(0)
+    keep = max(1, total // 10)
+    cut = values_at_ranks(df, F.col(score).cast("double"), [total - keep])[0]
+    value = F.col(score).cast("double")
+    counts = df.agg(F.count_if(value > cut).alias("above"), F.count_if(value == cut).alias("at")).first()
+    tied, wanted = df.filter(value == cut), keep - counts["above"]
+    if wanted == counts["at"]:
+        return df.filter(value >= cut)
+    # Halves of a key are exact as doubles, whatever its size.
+    high, low = F.shiftright(F.col(key).cast("bigint"), 32), F.col(key).cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))
+    top = int(values_at_ranks(tied, high.cast("double"), [counts["at"] - wanted])[0])
+    inner = tied.agg(F.count_if(high > top).alias("above"), F.count_if(high == top).alias("at")).first()
+    least = values_at_ranks(tied.filter(high == top), low.cast("double"), [inner["at"] - (wanted - inner["above"])])[0]
+    return df.filter((value > cut) | ((value == cut) & ((high > top) | ((high == top) & (low >= int(least))))))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from venuelens.functions import numbers as nm, text as tx
@@ -457,7 +458,7 @@ def _ridge_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Features for the two-feature ridge; texts are measured before anything is joined or sorted."""
     lengths = review_lengths(spark, folder).withColumnRenamed("chars", "review_text_len_chars")
     rows = narrow_reviews(spark, folder).join(lengths, "row_id")
-    kept = rows.select("row_id", "clothing_id", "age", "rating", "review_text_len_chars", "positive_feedback_count")
+    kept = rows.select("row_id", "age", "review_text_len_chars", "positive_feedback_count")
     return ml.materialize(ml.with_label(kept, "positive_feedback_count"))
 
 
@@ -475,17 +476,67 @@ def ridge_weights(spark, folder):
 SELECT row_id AS row_index, CAST(t AS DOUBLE) AS actual_target, round(p, 6) AS predicted_target, round(p_log, 6) AS predicted_target_log,
  round(t - p, 6) AS residual, round(abs(t - p), 6) AS abs_error, rank() OVER (ORDER BY round(p, 9) DESC) AS predicted_rank,
  round((rank() OVER (ORDER BY round(p, 9)) + (count(*) OVER (PARTITION BY round(p, 9)) - 1) / 2.0) / CAST(n AS DOUBLE), 9) AS predicted_percentile,
- 'ridge' AS model_name, 'all_valid_rows' AS prediction_scope, clothing_id, rating FROM scored""")
+ 'ridge' AS model_name, 'all_valid_rows' AS prediction_scope, scored.clothing_id, title, review_text, scored.rating, recommended_ind,
+ division_name, department_name, class_name FROM scored JOIN reviews USING (row_id)""")
 def prediction_table(spark, folder):
     rows = _ridge_rows(spark, folder)
     model = ml.fit_ridge(rows, RIDGE_SPEC)
-    table_ = ml.prediction_table(model, rows, "row_id", "positive_feedback_count", "ridge")
+    table_ = ml.prediction_table(model, rows, "row_id", "positive_feedback_count", "ridge", source=reviews(spark, folder))
     rounded = {c: F.round(c, 6) for c in ("predicted_target", "predicted_target_log", "residual", "abs_error")}
     rounded["predicted_percentile"] = F.round("predicted_percentile", 9)
     return table_.withColumns(rounded)
 
 
-@query()
+TFIDF_TERMS = 50
+
+
+@query(rf"""WITH tokens AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{M}}\p{{N}}_]+'),
+ lambda x: length(x) >= 2)) AS term FROM documents), n AS (SELECT count(*) AS texts FROM documents),
+vocabulary AS (SELECT term, ln((1.0 + texts) / (1.0 + doc_count)) + 1 AS idf FROM (SELECT term, count(*) AS term_count,
+ count(DISTINCT doc_id) AS doc_count FROM tokens GROUP BY term), n WHERE doc_count >= 2 ORDER BY term_count DESC, term LIMIT {TFIDF_TERMS}),
+weighted AS (SELECT doc_id, term, count(*) * any_value(idf) AS w FROM tokens JOIN vocabulary USING (term) GROUP BY doc_id, term)
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM weighted""")
+def tfidf_weights(spark, folder):
+    texts = table(spark, folder, "documents").select("doc_id", "text")
+    stages, vector = ml._text_stages(texts, "text", TFIDF_TERMS)
+    for stage in stages:
+        texts = stage.transform(texts)
+    terms = F.array(*[F.lit(t) for t in stages[2].vocabulary])
+    weights = texts.select("doc_id", F.posexplode(vector_to_array(F.col(vector))).alias("place", "weight")).filter("weight > 0")
+    return weights.select("doc_id", F.get(terms, F.col("place")).alias("term"), r6("weight"))
+
+
+@query("SELECT row_id, column_name, value FROM (" + " UNION ALL ".join(
+    f"SELECT row_id, '{c}' AS column_name, coalesce({c}, 'Unknown') AS value FROM reviews" for c in FILLED[1:]) + ")")
+def one_hot_block(spark, folder):
+    """Every row has exactly the values of its categories in the one-hot block of the models."""
+    rows = fl.clean_categories(reviews(spark, folder).select("row_id", *FILLED[1:]), FILLED[1:])
+    stages, blocks = ml._category_stages(rows, FILLED[1:])
+    coded = ml._apply(stages, rows)
+    long = []
+    for c, block, labels in zip(FILLED[1:], blocks, stages[0].labelsArray):
+        hot = F.array_position(vector_to_array(F.col(block)), F.lit(1.0)).cast("int")
+        names = F.array(*[F.lit(x) for x in labels])
+        long.append(F.struct(F.lit(c).alias("column_name"), F.get(names, hot - 1).alias("value")))
+    return coded.select("row_id", F.inline(F.array(*long)))
+
+
+def _prepared_sql() -> str:
+    words = {"fit_keyword_count": tx.FIT_WORDS, "quality_keyword_count": tx.QUALITY_WORDS}
+    counts = ", ".join(f"CAST({_words_sql('combined_text', list(w))} AS BIGINT) AS {c}" for c, w in words.items())
+    filled = ", ".join(f"coalesce({c}, 'Unknown') AS {c}" for c in FILLED[1:])
+    return rf"""WITH joined AS (SELECT *, coalesce(title, '') AS t, coalesce(review_text, '') AS b,
+ regexp_replace(regexp_replace(coalesce(title, ''), '^\s+|\s+$', '', 'g') || ' ' || regexp_replace(coalesce(review_text, ''), '^\s+|\s+$', '', 'g'),
+ '^\s+|\s+$', '', 'g') AS combined_text FROM reviews)
+SELECT row_id, clothing_id, age, title, review_text, rating, recommended_ind, positive_feedback_count, {filled}, combined_text,
+ length(b) AS review_text_len_chars, len(regexp_extract_all(b, '\S+')) AS review_text_word_count,
+ length(t) AS title_len_chars, len(regexp_extract_all(t, '\S+')) AS title_word_count,
+ CAST(regexp_matches(t, '\S') AS INTEGER) AS has_title, CAST(regexp_matches(b, '\S') AS INTEGER) AS has_review_text, {counts},
+ CAST({_words_sql('combined_text', list(tx.SIZE_WORDS))} > 0 AS INTEGER) AS size_keyword_flag,
+ CAST(coalesce(rating <= 2, FALSE) AS INTEGER) AS rating_is_low, CAST(coalesce(rating >= 4, FALSE) AS INTEGER) AS rating_is_high FROM joined"""
+
+
+@query(_prepared_sql())
 def prepared_reviews(spark, folder):
     return prepare_reviews(reviews(spark, folder))
 

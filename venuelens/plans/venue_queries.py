@@ -11,7 +11,7 @@ from venuelens.operators import matching as mt
 from venuelens.plans.bridge import restaurants, table
 from venuelens.plans.registry import query
 from venuelens.sources.cards import LINKS, extract_cards
-from venuelens.sources.readers import parse_responses
+from venuelens.sources.readers import RESTAURANT_SCHEMA, parse_csv, parse_responses
 
 SCRAPED = ["rating", "reviews_count", "cuisine_type", "price", "is_sponsored"]
 # Dictionary of the matching query: names as they should be written.
@@ -42,6 +42,24 @@ def json_props(spark, folder):
     return parse_responses(table(spark, folder, "events").select("event_id", "user_id", "props"), "props", "k BIGINT")
 
 
+# Lines of a venue file: quoted lists, missing-value tokens, whole numbers written as decimals, and numbers that cannot be read.
+CSV_LINES = """SELECT p_partkey, concat(
+ CASE WHEN p_partkey % 11 = 0 THEN 'N/A' ELSE concat(p_size % 5, ',', p_partkey % 10) END, '|',
+ CASE WHEN p_partkey % 7 = 0 THEN 'x7' WHEN p_partkey % 5 = 0 THEN concat(p_partkey % 50, '.0') ELSE concat(p_partkey % 50, '') END, '|"',
+ replace(p_name, ' ', ', '), CASE WHEN p_partkey % 3 = 0 THEN ' ""big""' ELSE '' END, '"|',
+ CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN '$' ELSE '$$ - $$$' END, '|', CASE WHEN p_type = 'PROMO' THEN 'True' ELSE 'False' END) AS line
+FROM {part}"""
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 11 <> 0 THEN concat(p_size % 5, ',', p_partkey % 10) END AS rating,
+ CASE WHEN p_partkey % 7 <> 0 THEN p_partkey % 50 END AS reviews_count,
+ replace(p_name, ' ', ', ') || CASE WHEN p_partkey % 3 = 0 THEN ' "big"' ELSE '' END AS cuisine_type,
+ CASE p_partkey % 3 WHEN 1 THEN '$' WHEN 2 THEN '$$ - $$$' END AS price, p_type = 'PROMO' AS is_sponsored FROM part""")
+def csv_lines(spark, folder):
+    lines = spark.sql(CSV_LINES, part=table(spark, folder, "part"))
+    return parse_csv(lines, "line", RESTAURANT_SCHEMA, "|")
+
+
 @query("""
 WITH found AS (SELECT page_id, regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>') AS cards FROM pages),
 placed AS (SELECT page_id, cards, unnest(range(1, len(cards) + 1)) AS i FROM found)

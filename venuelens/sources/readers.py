@@ -87,14 +87,14 @@ def read_restaurants(
     return read_csv(spark, path, schema, multi_line)
 
 
-def parse_csv(df: DataFrame, col: str, schema: T.StructType) -> DataFrame:
+def parse_csv(df: DataFrame, col: str, schema: T.StructType, separator: str = ",") -> DataFrame:
     """Parse a column of CSV lines and put its typed fields next to the other columns.
 
     Missing-value tokens and unreadable numbers become NULL, as in the file readers.
     """
     kept = [c for c in df.columns if c != col]
     texts = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
-    parsed = df.select(*kept, F.from_csv(F.col(col), texts, {"quote": '"', "escape": '"'}).alias("_csv"))
+    parsed = df.select(*kept, F.from_csv(F.col(col), texts, {"sep": separator, "quote": '"', "escape": '"'}).alias("_csv"))
     return parsed.select(*kept, *[_typed(F.col("_csv")[f.name], f.dataType).alias(f.name) for f in schema.fields])
 
 
