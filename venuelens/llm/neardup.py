@@ -25,6 +25,8 @@ MOST_WRONG = 47
 
 _SEEDS = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64)) | np.uint64(1)
 _LANES = [f"s{i}" for i in range(LANES)]
+MASK = 512
+_MASK = [f"m{i}" for i in range(MASK // 64)]
 
 
 def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,26 +113,56 @@ def _keys(lanes: list[Column]) -> Column:
     return F.array(*out)
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
-    left, right = texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
+def _compare(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Exact comparison of every pair (id, other) on full shingle sets.
+
+    `near`: 100 * intersection >= percent * union. `both`: size of the intersection. `rest`: how many shingles of id the other does not
+    have; `bits`, m0..: how many of MASK bits, and which, the hashes of those set.
+    """
+    left, right = texts.select("id", F.col("text").alias("ta")), texts.select(F.col("id").alias("other"), F.col("text").alias("tb"))
 
     def run(batches):
         for whole in batches:
             for batch in slices(whole, "ta", 1 << 20):
                 a, a_at = shingle_sets(batch.column("ta"), size)
                 b, b_at = shingle_sets(batch.column("tb"), size)
-                yes = []
+                both = np.zeros(batch.num_rows, dtype=np.int64)
+                masks = np.zeros((batch.num_rows, MASK), dtype=bool)
                 for r in range(batch.num_rows):
                     x, y = a[a_at[r] : a_at[r + 1]], b[b_at[r] : b_at[r + 1]]
-                    if len(x) > len(y):
-                        x, y = y, x
-                    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0
-                    yes.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-                yield batch.select(["a", "b"]).filter(pa.array(yes, pa.bool_()))
-
-    kind = pairs.schema["a"].dataType.simpleString()
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, f"a {kind}, b {kind}")
+                    if len(x) and len(y):
+                        found = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+                        both[r] = found.sum()
+                        masks[r, (x[~found] & np.uint64(MASK - 1)).astype(np.int64)] = True
+                n, m = np.diff(a_at), np.diff(b_at)
+                lanes = np.packbits(masks, axis=1, bitorder="little").view("<i8")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("id"), batch.column("other"), pa.array((both > 0) & (100 * both >= percent * (n + m - both))),
+                        pa.array(both), pa.array(n - both), pa.array(masks.sum(axis=1), pa.int64()),
+                        *[pa.array(np.ascontiguousarray(lanes[:, k])) for k in range(MASK // 64)],
+                    ],
+                    ["id", "other", "near", "both", "rest", "bits", *_MASK],
+                )
+
+    kind = pairs.schema["id"].dataType.simpleString()
+    rows = pairs.join(left, "id").join(right, "other").select("id", "other", "ta", "tb")
+    return rows.mapInArrow(run, f"id {kind}, other {kind}, near boolean, both long, rest long, bits long, {', '.join(f'{x} long' for x in _MASK)}")
+
+
+def _can_be_near(percent: int) -> Column:
+    """Whether x and y of one key may be near, by what they have in common with the key's pivot.
+
+    Shared shingles are either the pivot's, at most as many as the one with fewer of those has, or not: then their hashes share bits, and no
+    more of them can hide behind one bit than one side has shingles in excess of bits. Without a comparison with the pivot nothing is known.
+    """
+    common = F.lit(0)
+    for lane in _MASK:
+        common = common + F.bit_count(F.col(f"x.{lane}").bitwiseAND(F.col(f"y.{lane}")))
+    excess = F.least(F.col("x.rest") - F.col("x.bits"), F.col("y.rest") - F.col("y.bits"))
+    most = F.least("x.both", "y.both") + F.least("x.rest", "y.rest", common + excess)
+    known = F.col("x.both").isNotNull() & F.col("y.both").isNotNull()
+    return ~known | (100 * most >= percent * (F.col("x.n") + F.col("y.n") - most))
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -143,9 +175,10 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     1. Equal sets become one class, represented by its smallest doc_id, so exact copies never meet again.
     2. Representatives that share a key of the multi-index are candidates. Each key's members are first compared with one
        pivot only (the one that shares most keys with others), which ties large groups together with one pair per member.
-    3. Members of one key that are still in different groups are compared with each other, by signature first. A key whose
-       members are already together gives no pair; in other keys the members of its main group are only compared
-       with those outside it. So no link between groups is lost and a group of n copies does not give n * n pairs.
+    3. Members of one key that are still in different groups are compared with each other, unless their signatures, or what they share
+       with the key's pivot, rule out a link. A key whose members are already together gives no pair; in other keys the
+       members of its main group are only compared with those outside it. So no link between groups is lost and a group
+       of n copies does not give n * n pairs.
     Every pair is confirmed on the full sets. Nothing is capped; a frequent key is split by adaptive skew joins.
 
     NULL, empty and blank texts have an empty set: 0 shingles, linked with nothing. Rows with equal doc_id are one document
@@ -172,23 +205,27 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     stars = keep(
         members.alias("x").join(pivots, "key").where(F.col("x.id") != F.col("p.id"))
         .where(_alike(F.col("x.n"), F.col("p.n"), percent) & (_wrong("x", "p") <= MOST_WRONG))
-        .select(F.least("x.id", "p.id").alias("a"), F.greatest("x.id", "p.id").alias("b")).distinct()
+        .select("x.id", F.col("p.id").alias("other")).distinct()
     )
-    links = keep(_confirm(stars, texts, size, percent).union(_repeated(placed)))
+    compared = keep(_compare(stars, texts, size, percent))
+    links = keep(compared.where("near").select(F.col("id").alias("a"), F.col("other").alias("b")).union(_repeated(placed)))
     groups = keep(components(links))
 
     labelled = members.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("size"))
     main = sizes.groupBy("key").agg(F.count("*").alias("groups"), F.max_by("component", F.struct("size", "component")).alias("main")).where("groups > 1")
-    open_keys = keep(labelled.join(main, "key"))
+    main = main.join(pivots.select("key", F.col("p.id").alias("other")), "key").select("key", "main", "other")
+    # Pairs with the pivot itself are done.
+    facts = compared.select("id", "other", "both", "rest", "bits", *_MASK)
+    open_keys = keep(labelled.join(main, "key").where("id <> other").join(facts, ["id", "other"], "left"))
     outside = open_keys.where("component <> main")
     crossed = (
         outside.alias("x").join(open_keys.alias("y"), "key")
         .where((F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))))
-        .where(_alike(F.col("x.n"), F.col("y.n"), percent) & (_wrong("x", "y") <= MOST_WRONG))
-        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+        .where(_alike(F.col("x.n"), F.col("y.n"), percent) & (_wrong("x", "y") <= MOST_WRONG) & _can_be_near(percent))
+        .select(F.least("x.id", "y.id").alias("id"), F.greatest("x.id", "y.id").alias("other")).distinct()
     )
-    more = keep(_confirm(crossed.join(stars, ["a", "b"], "left_anti"), texts, size, percent))
+    more = _compare(crossed, texts, size, percent).where("near").select(F.col("id").alias("a"), F.col("other").alias("b"))
     groups = components(links.union(more))
 
     component = F.coalesce("component", "id", "doc_id")
