@@ -72,7 +72,9 @@ def repeated_units(docs: DataFrame, id: str = "doc_id", text: str = "text", sent
     units = keep(narrow.mapInArrow(run, f"doc_id {kind}, units {_UNITS}").select("doc_id", F.inline("units")))
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start")
     first = units.groupBy("high", "low").agg(F.min(rank).alias("least"), F.max(rank).alias("most")).where("least <> most")
-    again = units.join(first.select("high", "low", "least"), ["high", "low"]).where(rank != F.col("least"))
+    # Kept, so that the join deals both sides itself and Spark can split a frequent digest.
+    first = keep(first.select("high", "low", "least"))
+    again = units.join(first, ["high", "low"]).where(rank != F.col("least"))
     return again.select("doc_id", "start", "end", F.col("least.doc_id").alias("first_doc"))
 
 

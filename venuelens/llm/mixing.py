@@ -50,7 +50,7 @@ def fit_classifier(docs: DataFrame, labelled: DataFrame, domains: Sequence[str],
     narrow = docs.select(F.col(id).alias("_id"), F.col(text).cast("string").alias("_text")).where(F.octet_length("_text") <= longest)
     number = F.array_position(F.array(*[F.lit(x) for x in domains]), F.col("_domain")) - 1
     sample = narrow.join(F.broadcast(chosen), "_id").select(words(F.col("_text")).alias("words"), number.cast("double").alias("label"))
-    sample = keep(_vectors(sample).select("features", "label"))
+    sample = keep(_vectors(sample).select("features", "label")).coalesce(8)  # a bounded sample
     shares = {int(r["label"]): r["count"] for r in sample.groupBy("label").count().collect()}
     if len(shares) < 2:
         prior = [1.0 if k in shares else 0.0 for k in range(len(domains))] if shares else [1 / len(domains)] * len(domains)

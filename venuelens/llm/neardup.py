@@ -88,17 +88,35 @@ def describe(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
     return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, text_id long, n_shingles long, set_id binary, {lanes}")
 
 
+def _differences(a: str, b: str, lane: str) -> Column:
+    """The lowest bit of every byte in which two signatures differ in a lane."""
+    x = F.col(f"{a}.{lane}").bitwiseXOR(F.col(f"{b}.{lane}"))
+    for shift in (4, 2, 1):
+        x = x.bitwiseOR(F.shiftright(x, shift))
+    return x.bitwiseAND(F.lit(0x0101010101010101))
+
+
 def _wrong(a: str, b: str) -> Column:
     """Number of symbols in which two signatures differ."""
     total = F.lit(0)
     for lane in _LANES:
-        x = F.col(f"{a}.{lane}").bitwiseXOR(F.col(f"{b}.{lane}"))
-        for shift in (4, 2, 1):
-            x = x.bitwiseOR(F.shiftright(x, shift))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+        total = total + F.bit_count(_differences(a, b, lane))
     return total
 
 
+def _first_key(a: str, b: str) -> Column:
+    """The lowest number of a key that two signatures share: a pair that meets in several keys is listed in that one only."""
+    lanes = [_differences(a, b, lane) for lane in _LANES[: -(-KEYED // 8)]]
+    out = None
+    for c in range(CHUNKS):
+        bits = [F.shiftright(lanes[i // 8], 8 * (i % 8)).bitwiseAND(F.lit(1)) for i in range(c * CHUNK, (c + 1) * CHUNK)]
+        wrong, place = F.lit(0), F.lit(c * CHUNK)
+        for i, bit in enumerate(bits):
+            wrong, place = wrong + bit, place + bit * i
+        out = F.when(wrong <= ERRORS, place) if out is None else out.when(wrong <= ERRORS, place)
+    return out
+
+
 def _keys(lanes: list[Column]) -> Column:
     """The keys of a signature: of each chunk, what is left when any one symbol (ERRORS = 1) is allowed to be wrong."""
     symbol = [F.shiftright(lanes[i // 8], 8 * (i % 8)).bitwiseAND(F.lit(255)) for i in range(KEYED)]
@@ -223,6 +241,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
         outside.alias("x").join(open_keys.alias("y"), "key")
         .where((F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.main")) | (F.col("x.id") < F.col("y.id"))))
         .where(_alike(F.col("x.n"), F.col("y.n"), percent) & (_wrong("x", "y") <= MOST_WRONG) & _can_be_near(percent))
+        .where(F.shiftright("key", 8 * (CHUNK - ERRORS)) == _first_key("x", "y"))
         .select(F.least("x.id", "y.id").alias("id"), F.greatest("x.id", "y.id").alias("other")).distinct()
     )
     more = _compare(crossed, texts, size, percent).where("near").select(F.col("id").alias("a"), F.col("other").alias("b"))

@@ -70,7 +70,7 @@ def sample_labels(labels: DataFrame, id: str, label: str, most: tuple[int, int])
     return parts[0].union(parts[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", most: tuple[int, int] = (12_000, 3_000), longest: int = 20_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", most: tuple[int, int] = (9_000, 3_000), longest: int = 20_000) -> Model:
     """Fit sentence weights to document labels.
 
     The training sample is bounded: most[0] clean and most[1] positive documents, of up to `longest` bytes each; their tokenised
