@@ -10,11 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuelens.llm.storage import keep
-from venuelens.llm.words import NO_SPACE, Words, slices, words_of
+from venuelens.llm.words import NO_SPACE, Words, mix, slices, words_of
 
 #: Numbers of the words outside the vocabulary and of the start of a text; vocabulary words follow.
 RARE, START = 0, 1
 
+#: Bits of the filter that tells most bigrams that were never seen from those of the table; a fixed 16 MB.
+FILTER, BLOCK = 1 << 27, 1 << 16
+
 
 @dataclass
 class Lower:
@@ -26,6 +29,7 @@ class Lower:
     rare: float  # log of the share of one word among those outside the vocabulary
     head: np.ndarray  # ascending keys of the frequent bigrams
     gain: np.ndarray  # what seeing the bigram adds to the log of the lower order's share
+    filter: np.ndarray | None = None  # one bit for each hash of a bigram of the table, as bytes
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.words):
@@ -78,12 +82,41 @@ def _discount(n: Column, d: tuple[float, float, float]) -> Column:
     return F.when(n == 1, d[0]).when(n == 2, d[1]).otherwise(d[2])
 
 
-def fit(trusted: DataFrame, text: str = "text", share: float = 1e-6) -> tuple[Lower, DataFrame]:
+def _filter(table: DataFrame) -> np.ndarray:
+    """The FILTER bits that the keys' hashes set. Tasks send positions by block; a block's bits are put together in one group."""
+
+    def positions(batches):
+        keys = [b.column("key").to_numpy() for b in batches]
+        if keys:
+            at = np.sort(mix(np.concatenate(keys).view(np.uint64)) & np.uint64(FILTER - 1))
+            blocks, first = np.unique(at // np.uint64(BLOCK), return_index=True)
+            parts = np.split((at % np.uint64(BLOCK)).astype("<u2"), first[1:])
+            yield pa.RecordBatch.from_pydict({"block": pa.array(blocks.astype(np.int32)), "at": [x.tobytes() for x in parts]})
+
+    def union(group: pa.Table) -> pa.Table:
+        bits = np.zeros(BLOCK, dtype=bool)
+        for x in group.column("at").to_pylist():
+            bits[np.frombuffer(x, "<u2")] = True
+        return pa.table({"block": group.column("block")[:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+
+    found = table.select("key").mapInArrow(positions, "block int, at binary").groupBy("block").applyInArrow(union, "block int, bits binary").toArrow()
+    out = np.zeros((FILTER // BLOCK, BLOCK // 8), dtype=np.uint8)
+    for block, bits in zip(found.column("block").to_pylist(), found.column("bits").to_pylist()):
+        out[block] = np.frombuffer(bits, np.uint8)
+    return out.ravel()
+
+
+def _may_be_listed(lower: Lower, keys: np.ndarray) -> np.ndarray:
+    at = (mix(keys.view(np.uint64)) & np.uint64(FILTER - 1)).astype(np.int64)
+    return (lower.filter[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
+def fit(trusted: DataFrame, text: str = "text", share: float = 1e-6, head: float = 2e-7) -> tuple[Lower, DataFrame]:
     """The model of all of `trusted`: what is broadcast, and the table (key, gain) of the other bigrams.
 
     P(w | v) = max(c(vw) - D(c), 0) / c(v) + weight(v) * continuation(w), and the continuation is discounted in the same way towards the
-    uniform distribution. Words with less than `share` of all are one class to the model, shared out evenly among its words. All counts are taken over all trusted text. What is
-    gathered is bounded by 1 / share words and as many bigrams; rarer bigrams stay in a table, to be joined. Without trusted text every word
+    uniform distribution. Bigrams with `head` of all or more are broadcast, the others stay in the table. Words with less than `share` of all are one class to the model, shared out evenly among its words. All counts are taken over all trusted text. What is
+    gathered is bounded by 1 / share words, 1 / head bigrams and a filter of fixed size over the others. Without trusted text every word
     is equally likely.
     """
     docs = trusted.select(F.col(text).cast("string").alias("text"))
@@ -125,17 +158,20 @@ def fit(trusted: DataFrame, text: str = "text", share: float = 1e-6) -> tuple[Lo
             yield pa.RecordBatch.from_pydict({"key": batch.column("key"), "n": batch.column("n"), "gain": gain})
 
     gains = keep(pairs.mapInArrow(run, "key long, n long, gain double"))
-    head = gains.where(F.col("n") >= max(2.0, share * total)).select("key", "gain").toArrow()
-    order = np.argsort(head.column("key").to_numpy())
-    lower.head, lower.gain = head.column("key").to_numpy()[order], head.column("gain").to_numpy()[order]
-    return lower, gains.where(F.col("n") < max(2.0, share * total)).select("key", "gain")
+    frequent = F.col("n") >= max(2.0, head * total)
+    top = gains.where(frequent).select("key", "gain").toArrow()
+    order = np.argsort(top.column("key").to_numpy())
+    lower.head, lower.gain = top.column("key").to_numpy()[order], top.column("gain").to_numpy()[order]
+    table = gains.where(~frequent).select("key", "gain")
+    lower.filter = _filter(table)
+    return lower, table
 
 
 def perplexity(docs: DataFrame, model: tuple[Lower, DataFrame], id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, perplexity) of every whole text.
 
-    The lower order and frequent bigrams are scored where the text is; every other bigram of a text is sent once, to be
-    joined with the sharded table, and the text gets the sum back. Texts are not dealt out: a second pass over them costs less. NULL and blank
+    The lower order and frequent bigrams are scored where the text is; every other bigram of a text that may be
+    listed, by the filter, is sent once, to be joined with the sharded table, and the text gets the sum back. Texts are not dealt out: a second pass over them costs less. NULL and blank
     texts have no tokens and perplexity NULL; rows equal in id and text are scored once and returned as often as they occur.
     """
     lower, table = model
@@ -166,7 +202,7 @@ def perplexity(docs: DataFrame, model: tuple[Lower, DataFrame], id: str = "doc_i
 
     def asking(batches):
         for batch, _, _, _, rows, key, _, is_head in parts(batches):
-            tail = np.flatnonzero(~is_head)
+            tail = np.flatnonzero(~is_head & _may_be_listed(shared.value, key))
             order = tail[np.lexsort((key[tail], rows[tail]))]
             new = np.ones(len(order), bool)
             new[1:] = (key[order][1:] != key[order][:-1]) | (rows[order][1:] != rows[order][:-1])
