@@ -26,7 +26,7 @@ class Classifier:
 
 def words(text: Column) -> Column:
     """Words between blanks and line ends; a NULL or blank text has none."""
-    return F.filter(F.split(F.coalesce(F.translate(text, "\n\t\r\f\x0b", "     "), F.lit("")), " "), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[ \t\n\x0B\f\r]+"), "")
 
 
 def _vectors(df: DataFrame) -> DataFrame:
