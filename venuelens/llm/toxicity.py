@@ -70,7 +70,7 @@ def sample_labels(labels: DataFrame, id: str, label: str, most: tuple[int, int])
     return parts[0].union(parts[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", most: tuple[int, int] = (9_000, 3_000), longest: int = 20_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", most: tuple[int, int] = (4_000, 1_500), longest: int = 20_000) -> Model:
     """Fit sentence weights to document labels.
 
     The training sample is bounded: most[0] clean and most[1] positive documents, of up to `longest` bytes each; their tokenised
@@ -93,7 +93,10 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
                 yield pa.RecordBatch.from_pydict({"y": batch.column("y"), "weight": batch.column("weight"), "found": [x[0] for x in rows], "begin": [x[1] for x in rows]})
 
     sample = narrow.join(chosen, "id").mapInArrow(run, "y int, weight double, found binary, begin binary").toArrow()
-    return _fit(sample)
+    model = _fit(sample)
+    del sample
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def _fit(sample: pa.Table, rounds: int = 150, rate: float = 0.1, sparse: float = 1e-4) -> Model:
@@ -142,7 +145,7 @@ def _fit(sample: pa.Table, rounds: int = 150, rate: float = 0.1, sparse: float =
 
 def _chosen_features(y: np.ndarray, found: list[np.ndarray], least: int = 3, deviations: float = 2.0) -> np.ndarray:
     """Number of every bucket whose log odds ratio of positive documents lies `deviations` standard errors above 0; else -1."""
-    seen = np.zeros((2, BUCKETS))
+    seen = np.zeros((2, BUCKETS), dtype=np.float32)
     for label, x in zip(y.astype(int), found):
         seen[label, np.unique(x)] += 1
     rest = np.array([[(y == 0).sum()], [(y > 0).sum()]]) - seen
