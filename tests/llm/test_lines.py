@@ -45,3 +45,14 @@ def test_odd_rows(frame, odd):
         by_id.setdefault(r.doc_id, []).append(r.text)
     assert by_id[4] == [prose(4, 80)] * 2 and by_id[5] == [""] and by_id[1] == [None]
     assert lines.drop_repeated_units(odd.limit(0)).count() == 0
+
+
+def test_rows_without_id_or_with_an_id_in_common_keep_their_own_text(frame):
+    a, b, c, d = (prose(40 + i, 12) for i in range(4))
+    done = {}
+    for r in lines.drop_repeated_units(frame([(1, a), (None, f"{a}\n{b}"), (None, f"{c}\n{d}"), (2, f"{a}\n{c}"), (2, d), (None, None)])).collect():
+        done.setdefault(r.doc_id, []).append(r.text)
+    assert done[1] == [a] and sorted(done[2]) == sorted([c, d]) and sorted(done[None], key=str) == sorted([b, "", None], key=str)
+    # The same unit at the same place of two rows without id is removed from one of them.
+    texts = [r.text for r in lines.drop_repeated_units(frame([(None, f"{a}\n{b}"), (None, f"{a}\n{c}")])).collect()]
+    assert sum(a in t for t in texts) == 1 and all(t.endswith((b, c)) for t in texts)

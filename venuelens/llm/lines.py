@@ -53,29 +53,35 @@ def units_of(texts: pa.Array, sentences: bool, least: int) -> list[list[dict]]:
     return out
 
 
+def _rows(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(doc_id, text, row): `row` is a digest of the text."""
+    return docs.select(F.col(id).alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("row", F.xxhash64("text"))
+
+
 def repeated_units(docs: DataFrame, id: str = "doc_id", text: str = "text", sentences: bool = True, least: int = 8) -> DataFrame:
-    """(doc_id, start, end, first_doc): every unit of `least` words or more that isn't the earliest of its kind.
+    """(doc_id, row, start, end, first_doc): every unit of `least` words or more that isn't the earliest of its kind.
 
-    Earliest: smallest doc_id, then start; NULL ids come last, and equal rows are one occurrence, so they lose nothing to each other.
+    A row is told by its doc_id and `row`, a digest of its text, so rows without id and texts that share an id stay apart. Earliest: smallest
+    doc_id, then row, then start; NULL ids come last, and equal rows are one occurrence, so they lose nothing to each other.
     Digests are counted with pre-aggregation; only those that occur again are joined back, and a frequent one is split by adaptive
     skew joins. Empty tables and texts, and NULL texts, have no units.
     """
-    narrow = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    narrow = _rows(docs, id, text)
     kind = narrow.schema["doc_id"].dataType.simpleString()
     place = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("high", pa.int64()), ("low", pa.int64())]))
 
     def run(batches):
         for whole in batches:
             for batch in slices(whole, "text"):
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "units": pa.array(units_of(batch.column("text"), sentences, least), place)})
+                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "row": batch.column("row"), "units": pa.array(units_of(batch.column("text"), sentences, least), place)})
 
-    units = keep(narrow.mapInArrow(run, f"doc_id {kind}, units {_UNITS}").select("doc_id", F.inline("units")))
-    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start")
+    units = keep(narrow.mapInArrow(run, f"doc_id {kind}, row long, units {_UNITS}").select("doc_id", "row", F.inline("units")))
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row", "start")
     first = units.groupBy("high", "low").agg(F.min(rank).alias("least"), F.max(rank).alias("most")).where("least <> most")
     # Kept, so that the join deals both sides itself and Spark can split a frequent digest.
     first = keep(first.select("high", "low", "least"))
     again = units.join(first, ["high", "low"]).where(rank != F.col("least"))
-    return again.select("doc_id", "start", "end", F.col("least.doc_id").alias("first_doc"))
+    return again.select("doc_id", "row", "start", "end", F.col("least.doc_id").alias("first_doc"))
 
 
 def drop_repeated_units(docs: DataFrame, id: str = "doc_id", text: str = "text", sentences: bool = True, least: int = 8) -> DataFrame:
@@ -85,9 +91,10 @@ def drop_repeated_units(docs: DataFrame, id: str = "doc_id", text: str = "text",
     stretches one after another. Marks and blanks that followed a removed unit go with it. Rules as in `repeated_units`; NULL texts stay NULL.
     """
     found = repeated_units(docs, id, text, sentences, least)
-    gone = found.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end", "first_doc"))).alias("removed"))
-    narrow = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    joined = narrow.join(gone.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "removed")
+    gone = found.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(F.sort_array(F.collect_set(F.struct("start", "end", "first_doc"))).alias("removed"))
+    narrow = _rows(docs, id, text)
+    same = (F.col("row") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    joined = narrow.join(gone, same, "left").select("doc_id", "text", "removed")
     kind = narrow.schema["doc_id"].dataType.simpleString()
     stretch = [("start", pa.int32()), ("end", pa.int32())]
     first_doc = joined.schema["removed"].dataType.elementType["first_doc"].dataType.simpleString()
