@@ -56,3 +56,13 @@ def test_rows_without_id_or_with_an_id_in_common_keep_their_own_text(frame):
     # The same unit at the same place of two rows without id is removed from one of them.
     texts = [r.text for r in lines.drop_repeated_units(frame([(None, f"{a}\n{b}"), (None, f"{a}\n{c}")])).collect()]
     assert sum(a in t for t in texts) == 1 and all(t.endswith((b, c)) for t in texts)
+
+
+def test_query_removes_short_units(spark, frame, tmp_path):
+    from venuelens.llm import queries
+
+    texts = [(1, f"{prose(1, 20)}\nRead more.\nok"), (2, f"Read more.\n{prose(2, 20)}. Yes! Yes!"), (3, f"OK\n{prose(3, 6)}\n{prose(1, 20)}"), (4, f"{prose(3, 6)}\n***")]
+    frame(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op8_substring_dedup(spark, str(tmp_path)).collect()}
+    assert {(i, x.start) for i, r in got.items() for x in r.removed} == brute(texts, least=1)
+    assert [got[i].text for i in (1, 2, 3, 4)] == [texts[0][1], f"{prose(2, 20)}. Yes! ", f"{prose(3, 6)}\n", "***"]

@@ -111,7 +111,7 @@ def op7_spotsigs_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return lines.drop_repeated_units(table(spark, folder, "documents"))
+    return lines.drop_repeated_units(table(spark, folder, "documents"), least=1)
 
 
 @_query
