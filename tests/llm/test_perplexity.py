@@ -81,3 +81,11 @@ def test_odd_rows(odd):
     judged = perplexity.judge(got, odd, odd.limit(0))
     assert judged.count() == odd.count() and judged.where("not keep").count() == 3
     assert perplexity.perplexity(odd.limit(0), perplexity.fit(odd)).count() == 0
+
+
+def test_vocabulary_does_not_depend_on_the_size_of_the_table(spark, frame):
+    small = [(i, prose(i, 30)) for i in range(6)] * 2
+    hot = spark.range(25).selectExpr("id AS doc_id", "repeat('hot word ', 60000) AS text")  # 3 million words
+    few = perplexity.fit(frame(small))[0]
+    many = perplexity.fit(frame(small).select("doc_id", "text").union(hot))[0]
+    assert len(few.words) > 50 and np.isin(few.words, many.words).all() and len(many.words) == len(few.words) + 2

@@ -21,7 +21,7 @@ FILTER, BLOCK = 1 << 27, 1 << 16
 
 @dataclass
 class Lower:
-    """What every task holds. Its size is bounded: a vocabulary word, and a head bigram, has `share` of all or more."""
+    """What every task holds: 24 bytes a vocabulary word, 16 a head bigram (each has `head` of all or more), and the filter."""
 
     words: np.ndarray  # ascending hashes of the vocabulary; word i has number i + 2
     weight: np.ndarray  # log of the weight of the lower order after a word, by number
@@ -111,13 +111,14 @@ def _may_be_listed(lower: Lower, keys: np.ndarray) -> np.ndarray:
     return (lower.filter[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def fit(trusted: DataFrame, text: str = "text", share: float = 1e-6, head: float = 2e-7) -> tuple[Lower, DataFrame]:
+def fit(trusted: DataFrame, text: str = "text", share: float = 0.0, head: float = 2e-7) -> tuple[Lower, DataFrame]:
     """The model of all of `trusted`: what is broadcast, and the table (key, gain) of the other bigrams.
 
     P(w | v) = max(c(vw) - D(c), 0) / c(v) + weight(v) * continuation(w), and the continuation is discounted in the same way towards the
-    uniform distribution. Bigrams with `head` of all or more are broadcast, the others stay in the table. Words with less than `share` of all are one class to the model, shared out evenly among its words. All counts are taken over all trusted text. What is
-    gathered is bounded by 1 / share words, 1 / head bigrams and a filter of fixed size over the others. Without trusted text every word
-    is equally likely.
+    uniform distribution. Bigrams with `head` of all or more are broadcast, the others stay in the table. A word seen twice or more is in the
+    vocabulary however large the input is; words seen once are one class to the model, shared out evenly among them. A `share` above 0 also
+    asks for that share of all words. All counts are taken over all trusted text. What is gathered is the vocabulary, which grows more slowly
+    than the text, 1 / head bigrams and a filter of fixed size over the others. Without trusted text every word is equally likely.
     """
     docs = trusted.select(F.col(text).cast("string").alias("text"))
     empty = np.zeros(0)
@@ -132,7 +133,7 @@ def fit(trusted: DataFrame, text: str = "text", share: float = 1e-6, head: float
     pairs = keep(_counted(docs, lower))
     d = _discounts(_counts_of(pairs, "n"))
     first, second = F.shiftright("key", 32).alias("v"), F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)).alias("w")
-    # One row per vocabulary word: bounded.
+    # One row per vocabulary word.
     before = pairs.groupBy(first).agg(F.sum("n").alias("c"), F.sum(_discount(F.col("n"), d)).alias("freed")).toArrow()
     types = keep(pairs.groupBy(second).agg(F.count("*").cast("long").alias("types")))
     e = _discounts(_counts_of(types, "types"))
