@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelens.llm import decontaminate, licences, lines, mixing, neardup, perplexity, pii, spots, toxicity, urls
+from venuelens.llm import decontaminate, licences, lines, mixing, neardup, perplexity, pii, simhash, spots, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +145,8 @@ counted AS (
 SELECT c.page_id, c.host, c.path, fit.rule, coalesce(fit.verdict, CASE WHEN strict > 0 OR soft >= 2 THEN 'block' ELSE 'allow' END) AS verdict, strict, soft
 FROM counted c LEFT JOIN fit ON fit.page_id = c.page_id
 """
+
+
+@_query
+def op12_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"), size=3, seed=42, most=2)
