@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuelens.llm import decontaminate, licences, lines, mixing, neardup, perplexity, pii, simhash, spots, toxicity, urls
+from venuelens.llm import collocations, decontaminate, divergence, licences, lines, mixing, neardup, perplexity, pii, simhash, spots, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -150,3 +150,79 @@ FROM counted c LEFT JOIN fit ON fit.page_id = c.page_id
 @_query
 def op12_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), size=3, seed=42, most=2)
+
+
+@_query
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"), least=3, most=200)
+
+
+_P = "1 + (1000000000 * (CAST({n} AS HUGEINT) + 1)) // ({total} + v)"
+
+ORACLES["op11_source_divergence"] = rf"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+kept AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM d) GROUP BY lang, term HAVING count(*) >= 3),
+sources AS (SELECT DISTINCT lang, source FROM d),
+found AS (
+  SELECT o.lang, o.source, o.term, count(*) AS n FROM (SELECT lang, source, unnest(w) AS term FROM d) o JOIN kept k ON k.lang = o.lang AND k.term = o.term
+  GROUP BY o.lang, o.source, o.term),
+dense AS (
+  SELECT s.lang, s.source, k.term, coalesce(f.n, 0) AS n, sum(coalesce(f.n, 0)) OVER (PARTITION BY s.lang, s.source) AS total,
+    count(*) OVER (PARTITION BY s.lang, s.source) AS v
+  FROM sources s JOIN kept k ON k.lang = s.lang LEFT JOIN found f ON f.lang = s.lang AND f.source = s.source AND f.term = k.term),
+own AS (SELECT lang, source, term, n, v, {_P.format(n="n", total="total")} AS p FROM dense),
+whole AS (
+  SELECT lang, term, {_P.format(n="n", total="total")} AS q
+  FROM (SELECT lang, term, any_value(v) AS v, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS total FROM dense GROUP BY lang, term)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+  FROM own a JOIN own b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY a.lang, a.source, b.source),
+listed AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM sources a JOIN sources b ON b.lang = a.lang AND b.source <> a.source LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT o.lang, o.source, 'term', o.term, CAST((o.p - q) * (o.p - q) // q AS BIGINT)
+  FROM own o JOIN whole w ON w.lang = o.lang AND w.term = o.term WHERE o.n > 0 AND o.p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INT) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM listed)
+WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@_query
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(table(spark, folder, "documents"), most_words=5, least=100, top=2000)
+
+
+ORACLES["op13_phrase_collocations"] = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)),
+total AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+counts AS (
+  SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i FROM pieces, (SELECT unnest(generate_series(1, 5)) AS m) WHERE len(w) >= m)
+  GROUP BY lang, m, phrase),
+candidates AS (SELECT * FROM counts WHERE m >= 2 AND f >= 100),
+cuts AS (
+  SELECT lang, m, phrase, f, k, array_to_string(list_slice(string_split(phrase, ' '), 1, k), ' ') AS head, array_to_string(list_slice(string_split(phrase, ' '), k + 1, m), ' ') AS rest
+  FROM (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM candidates)),
+scored AS (
+  SELECT c.lang, c.m, c.phrase, c.f AS a, c.k, h.f AS l, r.f AS r, t.n, (1000 * CAST(c.f AS HUGEINT) * t.n) // (CAST(h.f AS HUGEINT) * r.f) AS score
+  FROM cuts c JOIN counts h ON h.lang = c.lang AND h.phrase = c.head AND h.m = c.k JOIN counts r ON r.lang = c.lang AND r.phrase = c.rest AND r.m = c.m - c.k
+  JOIN total t ON t.lang = c.lang),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT DISTINCT c.lang, c.phrase FROM candidates c JOIN candidates d ON d.lang = c.lang AND d.f = c.f AND d.m > c.m
+  WHERE contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ')),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest WHERE (lang, phrase) NOT IN (SELECT lang, phrase FROM inside))
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""

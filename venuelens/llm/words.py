@@ -125,3 +125,10 @@ def char_offsets(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     heads = np.zeros(len(data) + 1, dtype=np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=heads[1:])
     return heads[at]
+
+
+def strings_of(w: Words, letters: np.ndarray) -> pa.StringArray:
+    """All words of `words_of` with the same `letters` as strings, one after another: their bytes alone, in order, are the values."""
+    ends = np.zeros(len(w.starts) + 1, dtype=np.int32)
+    np.cumsum(w.ends - w.starts, out=ends[1:])
+    return pa.Array.from_buffers(pa.string(), len(w.starts), [None, pa.py_buffer(ends), pa.py_buffer(w.data[letters[w.data]])])
