@@ -9,6 +9,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,19 +92,17 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "lang string, word string, key long, n long").groupBy("lang", "word", "key").agg(F.sum("n").alias("n"))
 
 
-def _count_next(docs: DataFrame, size: int, beginnings: np.ndarray, words: np.ndarray) -> DataFrame:
+def _count_next(docs: DataFrame, size: int, beginnings: Broadcast, words: Broadcast) -> DataFrame:
     """(key, parent, last, n) of the phrases of `size` words whose beginning and last word may be among the given ones."""
-    shared = docs.sparkSession.sparkContext.broadcast((beginnings, words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        beginnings, words = shared.value
         for p in _each(batches):
             if len(p.keys) < size:
                 continue
             *_, (parent, _), (key, within) = p.phrases(size)
             at = np.flatnonzero(within)
-            at = at[may_hold(words, p.keys[at + size - 1])]
-            at = at[may_hold(beginnings, parent[at])]
+            at = at[may_hold(words.value, p.keys[at + size - 1])]
+            at = at[may_hold(beginnings.value, parent[at])]
             keys, index, n = np.unique(key[at], return_index=True, return_counts=True)
             at = at[index]
             yield pa.RecordBatch.from_arrays([_long(keys), _long(parent[at]), _long(p.keys[at + size - 1]), pa.array(n)], ["key", "parent", "last", "n"])
@@ -112,7 +111,7 @@ def _count_next(docs: DataFrame, size: int, beginnings: np.ndarray, words: np.nd
     return counts.groupBy("key", "parent", "last").agg(F.sum("n").alias("n"))
 
 
-def grow(docs: DataFrame, starts: DataFrame, known: DataFrame, words: np.ndarray, most_words: int, least: int) -> list[DataFrame]:
+def grow(docs: DataFrame, starts: DataFrame, known: DataFrame, words: Broadcast, most_words: int, least: int) -> list[DataFrame]:
     """Tables of phrases by number of words, from 2: all those that occur `least` times or more and begin with one of `starts`.
 
     `heads` has the counts of the first word, the first two and so on; every one of them bounds what a longer phrase can score.
@@ -120,7 +119,8 @@ def grow(docs: DataFrame, starts: DataFrame, known: DataFrame, words: np.ndarray
     level = starts.select("lang", F.col("word").alias("phrase"), "key", F.col("n").alias("a"), F.array("key").alias("keys"), F.array().cast("array<long>").alias("heads"))
     found = []
     for size in range(2, most_words + 1):
-        counts = _count_next(docs, size, filter_of(level), words).where(F.col("n") >= least)
+        beginnings = docs.sparkSession.sparkContext.broadcast(filter_of(level))
+        counts = _count_next(docs, size, beginnings, words).where(F.col("n") >= least)
         before = level.select("lang", "phrase", F.col("key").alias("parent"), F.col("a").alias("head"), "keys", "heads")
         ends = known.select("word", F.col("key").alias("last"))
         longer = counts.join(before, "parent").join(ends, "last")
@@ -130,6 +130,7 @@ def grow(docs: DataFrame, starts: DataFrame, known: DataFrame, words: np.ndarray
                 F.concat("keys", F.array("last")).alias("keys"), F.concat("heads", F.array("head")).alias("heads"),
             )
         )
+        beginnings.destroy()
         if level.isEmpty():
             break
         found.append(level)
@@ -179,7 +180,9 @@ def inspect(docs: DataFrame, asked: DataFrame, most_words: int) -> DataFrame:
     seen = docs.mapInArrow(run, "key long, n long, b0 long, b1 long, a0 long, a1 long").groupBy("key")
     seen = seen.agg(F.sum("n").alias("n"), F.min("b0").alias("b0"), F.max("b1").alias("b1"), F.min("a0").alias("a0"), F.max("a1").alias("a1"))
     one = lambda low, high: F.when(F.col(low) == F.col(high), F.col(low)).otherwise(0)
-    return seen.select("key", "n", one("b0", "b1").alias("before"), one("a0", "a1").alias("after"))
+    seen = keep(seen.select("key", "n", one("b0", "b1").alias("before"), one("a0", "a1").alias("after")))
+    shared.destroy()
+    return seen
 
 
 def _score(a: Column, n: Column, left: Column, right: Column) -> Column:
@@ -198,7 +201,7 @@ def survivors(docs: DataFrame, levels: list[DataFrame], known: DataFrame, totals
     cuts = phrases.select("*", F.posexplode(F.arrays_zip(F.col("heads").alias("l"), F.col("rests").alias("rest"))).alias("place", "cut"))
     cuts = cuts.select("lang", "phrase", "key", "a", F.size("keys").alias("words"), (F.col("place") + 1).alias("k"), "cut.l", "cut.rest")
     asked = cuts.where(F.col("k") < F.col("words") - 1).select(F.col("rest").alias("key")).union(phrases.where(F.size("keys") < most_words).select("key"))
-    seen = keep(inspect(docs, asked, most_words - 1))
+    seen = inspect(docs, asked, most_words - 1)
     rests = seen.select(F.col("key").alias("rest"), F.col("n").alias("r")).union(known.select("key", "n"))
     scored = cuts.join(rests, "rest").join(totals, "lang").withColumn("score", _score(F.col("a"), F.col("total"), F.col("l"), F.col("r")))
     lowest = scored.groupBy("lang", "phrase", "key", "a", "words", F.col("total").alias("n")).agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
@@ -235,7 +238,7 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", most_words: in
     share = F.coalesce(F.sum("here").over(before), F.lit(0)) / F.sum("here").over(Window.partitionBy("lang"))
     turn = reduce(Column.__add__, [(share >= s).cast("int") for s in SHARES[:-1]], F.lit(0))
     bands = keep(sums.withColumn("turn", turn))
-    frequent = filter_of(known)
+    frequent = docs.sparkSession.sparkContext.broadcast(filter_of(known))
 
     best = docs.sparkSession.createDataFrame([], "lang string, phrase string, a long, l long, r long, n long, score long, rank long")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
@@ -255,4 +258,5 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", most_words: in
         # Settled languages leave: neither their texts nor their words are looked at again.
         open_texts = docs.join(open_langs, "lang", "left_semi")
         bands = keep(bands.join(open_langs, "lang", "left_semi"))
+    frequent.destroy()
     return best.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
