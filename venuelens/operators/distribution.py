@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from venuelens.operators.bins import add_bin
-from venuelens.operators.quantiles import collapse, count_ranges, quantiles_of_counts
+from venuelens.operators.quantiles import collapse, column_quantiles, count_ranges, extent, quantiles_of_counts
 
 
 @dataclass(frozen=True)
@@ -74,9 +76,30 @@ def _all_bins(df: DataFrame, axis: Axis, filled: DataFrame) -> DataFrame:
     )
 
 
-def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
-    """Row count per equal-width bin, empty bins included."""
-    axis = _histogram_axis(*_bounds(df, col)[0], bins)
+def automatic_bins(df: DataFrame, col: str) -> int:
+    """How many equal-width bins suit a column: the data set the width.
+
+    The smaller of the Freedman-Diaconis width 2 * (q3 - q1) / n ** (1/3), with exact quartiles, and the Sturges width (max - min) / (log2(n) + 1). The
+    first is at least (max - min) / sqrt(n) / 2, so that there are never more than 2 * sqrt(n) bins, whatever
+    the outliers. Bins of a whole-number column are at least 1 wide. One bin for a constant column or one without values.
+    """
+    x = F.col(col).cast("double")
+    row = df.agg(F.struct(*extent(x)).alias("seen"), F.min(x).alias("low"), F.max(x).alias("high")).first()
+    n = row["seen"]["n"]
+    if not n or row["low"] == row["high"]:
+        return 1
+    spread = row["high"] - row["low"]
+    found = column_quantiles(df, [col], {"q1": 0.25, "q3": 0.75}, {col: row["seen"]})[col]
+    middle = 2.0 * (found["q3"] - found["q1"]) / n ** (1.0 / 3.0)
+    width = min(max(middle, spread / math.sqrt(n) / 2), spread / (math.log2(n) + 1.0))
+    if isinstance(df.schema[col].dataType, IntegralType):
+        width = max(width, 1.0)
+    return math.ceil(spread / width)
+
+
+def histogram(df: DataFrame, col: str, bins: int | str = 30) -> DataFrame:
+    """Row count per equal-width bin, empty bins included; ``bins`` is a number or ``auto``, see ``automatic_bins``."""
+    axis = _histogram_axis(*_bounds(df, col)[0], automatic_bins(df, col) if bins == "auto" else bins)
     x = F.col(col).cast("double")
     filled = df.filter(x.isNotNull()).groupBy(axis.left_closed(x).alias("bin")).agg(F.count("*").alias("row_count"))
     return _all_bins(df, axis, filled).withColumn("row_count", F.coalesce("row_count", F.lit(0).cast("bigint")))

@@ -487,7 +487,7 @@ def prediction_table(spark, folder):
     return table_.withColumns(rounded)
 
 
-TFIDF_TERMS = 50
+TFIDF_TERMS = 500
 
 
 @query(rf"""WITH tokens AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{M}}\p{{N}}_]+'),

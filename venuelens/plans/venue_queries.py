@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from venuelens.functions import arrays as ar, numbers as nm
 from venuelens.operators import categories as ct, dedup as dd, distribution as ds, encoding as en, filters as fl
 from venuelens.operators import profile as pf
 from venuelens.operators import matching as mt
+from venuelens.operators.materialize import shared_folder
 from venuelens.plans.bridge import restaurants, table
 from venuelens.plans.registry import query
 from venuelens.sources.cards import LINKS, extract_cards
-from venuelens.sources.readers import RESTAURANT_SCHEMA, parse_csv, parse_responses
+from venuelens.sources.readers import RESTAURANT_SCHEMA, parse_csv, parse_responses, read_csv
 
 SCRAPED = ["rating", "reviews_count", "cuisine_type", "price", "is_sponsored"]
 # Dictionary of the matching query: names as they should be written.
@@ -60,6 +64,20 @@ def csv_lines(spark, folder):
     return parse_csv(lines, "line", RESTAURANT_SCHEMA, "|")
 
 
+# Missing-value tokens are NULL, as in every reader; the texts hold line breaks and quotes.
+@query("""SELECT doc_id, nullif(lang, '') AS lang, source, length(text) AS chars, length(text) - length(replace(text, chr(10), '')) AS line_breaks, md5(text) AS text_md5
+FROM documents WHERE text <> ''""")
+def csv_records(spark, folder):
+    """All documents written as CSV files and read back in blocks; a text over several lines is one record."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
+    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    docs.write.csv(path, header=True, quote='"', escape='"')
+    read = read_csv(spark, path, docs.schema)
+    text = F.col("text")
+    breaks = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    return read.where("text <> ''").select("doc_id", "lang", "source", F.length(text).cast("bigint").alias("chars"), breaks.cast("bigint").alias("line_breaks"), F.md5("text").alias("text_md5"))
+
+
 @query("""
 WITH found AS (SELECT page_id, regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>') AS cards FROM pages),
 placed AS (SELECT page_id, cards, unnest(range(1, len(cards) + 1)) AS i FROM found)
@@ -344,6 +362,44 @@ def match_values(spark, folder):
     return matched.select("p_partkey", "place_no", "word", "matched_value", "match_type", r6("match_score"))
 
 
+def _nearest_sql(words: str, entries: str) -> str:
+    """The closest entry for each distinct word, by comparing all pairs."""
+    return f"""words AS ({words}), entries AS ({entries}), kinds AS (SELECT DISTINCT word FROM words),
+pairs AS (SELECT word, name, lower(name) AS a, lower(word) AS b FROM kinds CROSS JOIN entries),
+scored AS (SELECT word, name, word = name AS equal, a = b AS same, {_SCORE} AS score FROM pairs),
+best AS (SELECT word, name, equal, same, score, row_number() OVER (PARTITION BY word ORDER BY equal DESC, same DESC, score DESC, name) AS nth FROM scored)"""
+
+
+_FOUND = """CASE WHEN same OR score >= 0.6 THEN name END AS matched_value,
+ CASE WHEN equal THEN 'exact' WHEN same THEN 'normalised' WHEN score >= 0.6 THEN 'closest' ELSE 'none' END AS match_type,
+ CASE WHEN same THEN 1.0::DOUBLE WHEN score >= 0.6 THEN round(score, 6) END AS match_score"""
+PART_WORDS = "SELECT p_partkey, unnest([1, 2]) AS place_no, unnest([string_split(p_name, ' ')[1], string_split(p_name, ' ')[2]]) AS word FROM part"
+TEXT_WORDS = "SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS {name} FROM documents"
+
+
+def _text_words(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return table(spark, folder, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias(name)).distinct()
+
+
+@query(f"""WITH {_nearest_sql(PART_WORDS, TEXT_WORDS.format(name="name"))}
+SELECT p_partkey, CAST(place_no AS INTEGER) AS place_no, words.word, {_FOUND} FROM words JOIN best ON best.word = words.word AND nth = 1""")
+def match_values_table(spark, folder):
+    """The words of all part names against a dictionary of all words of the documents."""
+    words = table(spark, folder, "part").select("p_partkey", F.posexplode(F.split("p_name", " ")).alias("place_no", "word"))
+    words = words.withColumn("place_no", F.col("place_no") + 1)
+    matched = mt.match_values_table(words, "word", _text_words(spark, folder, "name"), "name", cutoff=0.6)
+    return matched.select("p_partkey", "place_no", "word", "matched_value", "match_type", r6("match_score"))
+
+
+@query(f"""WITH {_nearest_sql(TEXT_WORDS.format(name="word"), "SELECT DISTINCT word AS name FROM (" + PART_WORDS + ")")}
+SELECT best.word, {_FOUND} FROM best WHERE nth = 1""")
+def match_text_words(spark, folder):
+    """The other way round: every word of the documents against the words of part names."""
+    names = table(spark, folder, "part").select(F.explode(F.split("p_name", " ")).alias("name")).distinct()
+    matched = mt.match_values_table(_text_words(spark, folder, "word"), "word", names, "name", cutoff=0.6)
+    return matched.select("word", "matched_value", "match_type", r6("match_score"))
+
+
 LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -397,6 +453,31 @@ def histogram(spark, folder):
     return bars.select("bin", r6("lower"), r6("upper"), "row_count")
 
 
+def _auto_sql(source: str, x: str, name: str, whole: bool) -> str:
+    width = f"{'greatest(1, ' if whole else '('}least(greatest(2 * (q3 - q1) / pow(n, 1.0 / 3.0), (hi - lo) / sqrt(n) / 2), (hi - lo) / (log2(n) + 1)))"
+    return f"""SELECT '{name}' AS column_name, b.bin, round(lo + b.bin * w, 6) AS lower, round(lo + (b.bin + 1) * w, 6) AS upper, coalesce(c, 0) AS row_count FROM (
+ WITH seen AS (SELECT count({x}) AS n, CAST(min({x}) AS DOUBLE) AS lo, CAST(max({x}) AS DOUBLE) AS hi, quantile_cont(CAST({x} AS DOUBLE), 0.25) AS q1,
+  quantile_cont(CAST({x} AS DOUBLE), 0.75) AS q3 FROM {source}),
+ sized AS (SELECT *, CAST(ceil((hi - lo) / {width}) AS BIGINT) AS bins FROM seen),
+ axis AS (SELECT *, (hi - lo) / bins AS w FROM sized),
+ guessed AS (SELECT CAST({x} AS DOUBLE) AS x, CAST(least(floor((CAST({x} AS DOUBLE) - lo) / (hi - lo) * bins), bins - 1) AS BIGINT) AS g FROM {source}, axis WHERE {x} IS NOT NULL),
+ counted AS (SELECT g - CAST(x < lo + g * w AS INT) + CAST(x >= lo + (g + 1) * w AND g < bins - 1 AS INT) AS bin, count(*) AS c FROM guessed, axis GROUP BY 1)
+ SELECT b.bin, lo, w, c FROM (SELECT unnest(range((SELECT bins FROM axis))) AS bin) b CROSS JOIN axis LEFT JOIN counted ON counted.bin = b.bin) b"""
+
+
+AUTO_COLUMNS = {"l_extendedprice": ("lineitem", False), "value": ("events", False), "rating": ("restaurants", False), "reviews_count": ("restaurants", True)}
+
+
+@query(" UNION ALL ".join(_auto_sql(t, c, c, whole) for c, (t, whole) in AUTO_COLUMNS.items()))
+def histogram_auto(spark, folder):
+    """Bins that the data themselves set, of a price, an event value, a rating with gaps and a whole number."""
+    parts = []
+    for c, (name, _) in AUTO_COLUMNS.items():
+        rows = restaurants(spark, folder) if name == "restaurants" else table(spark, folder, name)
+        parts.append(ds.histogram(rows.select(c), c, "auto").select(F.lit(c).alias("column_name"), "bin", r6("lower"), r6("upper"), "row_count"))
+    return reduce(DataFrame.union, parts)
+
+
 def binned_sql(source: str, x: str, y: str, bins: int) -> str:
     both = f"{x} IS NOT NULL AND {y} IS NOT NULL"
     return f"""axis AS ({_axis(source, x, bins, both)}),

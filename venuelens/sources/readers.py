@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from venuelens.functions.numbers import na_to_null, to_number
+from venuelens.sources.records import parse_records, read_records
 
 REVIEW_SCHEMA = T.StructType(
     [
@@ -65,11 +66,14 @@ def _typed(c: Column, kind: T.DataType) -> Column:
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """CSV with a header, columns by position, missing-value tokens as NULL.
 
-    ``multi_line`` allows line breaks in quoted text, at the price of one task per file: convert large
-    files to Parquet once, and switch it off for files without such breaks.
+    ``multi_line`` allows line breaks in quoted text. Files are read in blocks by many tasks either way; with it the records
+    are cut in two passes and kept in Parquet (see ``records``), so switch it off for files without such breaks.
     """
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.schema(texts).csv(path, header=True, multiLine=multi_line, quote='"', escape='"')
+    if multi_line:
+        raw = parse_records(read_records(spark, path), schema)
+    else:
+        raw = spark.read.schema(texts).csv(path, header=True, quote='"', escape='"')
     return raw.select(*[_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
 
 
