@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from venuelens.functions import text as tx
+from venuelens.operators import heavy
 from venuelens.operators.quantiles import column_quantiles
 
 
@@ -80,8 +81,10 @@ def tfidf_vocabulary(df: DataFrame, col: str, size: int = 500, min_df: int = 2)
     """The most frequent terms found in at least ``min_df`` texts: term, total and document count, idf.
 
     Sorting the tokens of a text marks the first of each term, so that both counts come from one
-    aggregation by term. Ties go to the smaller term.
+    aggregation by term. Ties go to the smaller term. Only candidates from a summary of bounded size are counted, where the last
+    count proves that no other term can be among the most frequent ones; else all terms are.
     """
+    spark = df.sparkSession
     ordered = F.sort_array(tx.tokens(F.col(col)))
     marked = F.transform(
         F.col("_tokens"),
@@ -90,15 +93,22 @@ def tfidf_vocabulary(df: DataFrame, col: str, size: int = 500, min_df: int = 2)
         ),
     )
     texts = df.agg(F.count("*").alias("texts")).first()["texts"]
-    return (
-        df.select(ordered.alias("_tokens"))
-        .select(F.inline(marked))
-        .groupBy("term")
-        .agg(F.count("*").alias("term_count"), F.sum("new").alias("doc_count"))
-        .filter(F.col("doc_count") >= min_df)
-        .withColumn("idf", F.log(F.lit(1.0 + texts) / (1.0 + F.col("doc_count"))) + 1.0)
-        .orderBy(F.desc("term_count"), "term")
-        .limit(size)
-    )
-
-
+    terms = df.select(ordered.alias("_tokens")).select(F.inline(marked))
+
+    def best(rows: DataFrame) -> DataFrame:
+        return (
+            rows.groupBy("term")
+            .agg(F.count("*").alias("term_count"), F.sum("new").alias("doc_count"))
+            .filter(F.col("doc_count") >= min_df)
+            .withColumn("idf", F.log(F.lit(1.0 + texts) / (1.0 + F.col("doc_count"))) + 1.0)
+            .orderBy(F.desc("term_count"), "term")
+            .limit(size)
+        )
+
+    for tracked in heavy.TRACKED:
+        found, bound = heavy.candidates(df.select(F.explode(tx.tokens(F.col(col))).alias("term")), "term", 4 * size, tracked)
+        top = best(heavy.among(terms, "term", found))
+        rows = top.collect()  # at most ``size``
+        if bound < 1 or (len(rows) == size and rows[-1]["term_count"] > bound):
+            return spark.createDataFrame(rows, top.schema)
+    return best(terms)

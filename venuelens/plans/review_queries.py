@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from venuelens.functions import numbers as nm, text as tx
 from venuelens.operators import categories as ct, distribution as ds, evaluate as ev, features as ft, filters as fl, models as ml
-from venuelens.operators import profile as pf, ranking as rk
+from venuelens.operators import heavy as hv, profile as pf, ranking as rk
 from venuelens.plans.bridge import measured_reviews, narrow_reviews, review_lengths, review_texts, reviews, table
 from venuelens.plans.registry import query
 from venuelens.plans.review_pipeline import NUMERIC, prepare_reviews, run_models
@@ -363,6 +363,14 @@ def tfidf_vocab(spark, folder):
     return terms.select("term", "term_count", "doc_count", r6("idf"))
 
 
+@query("""SELECT value, count(*) AS row_count FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS value FROM documents) GROUP BY value
+ORDER BY row_count DESC, value LIMIT 100""")
+def frequent_words(spark, folder):
+    """The hundred most frequent words of all texts, out of very many: candidates from a summary, counted exactly."""
+    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)))
+    return hv.top_counts(table(spark, folder, "documents").select(words.alias("word")), "word", 100)
+
+
 @query("""SELECT event_id, value, rank() OVER (ORDER BY value DESC) AS predicted_rank FROM events""")
 def predicted_rank(spark, folder):
     rows = table(spark, folder, "events").select("event_id", "value")
