@@ -66,10 +66,10 @@ def posteriors(docs: DataFrame, classifier: Classifier, id: str = "doc_id", text
     if classifier.model is None:
         return counted.select("doc_id", F.size("words").cast("long").alias("tokens"), F.array(*[F.lit(x) for x in classifier.prior]).alias("p"))
     scored = classifier.model.setProbabilityCol("probability").transform(_vectors(counted))
-    p = vector_to_array("probability")
-    # Domains beyond the last one of the sample have no class in the model, and probability 0.
-    full = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.coalesce(F.try_element_at(p, i + 1), F.lit(0.0)))
-    return scored.select("doc_id", F.size("words").cast("long").alias("tokens"), full.alias("p"))
+    # Domains beyond the last one of the sample have no class in the model, and probability 0. The array is taken once: inside a
+    # lambda over domains, the model would run once for each of them.
+    absent = F.array(*[F.lit(0.0)] * (k - classifier.model.numClasses)) if k > classifier.model.numClasses else F.array().cast("array<double>")
+    return scored.select("doc_id", F.size("words").cast("long").alias("tokens"), F.concat(vector_to_array("probability"), absent).alias("p"))
 
 
 def fit_rates(soft: DataFrame, targets: Sequence[float], total: float | str | None = None, rounds: int = 60, tolerance: float = 1e-4) -> tuple[DataFrame, list[float]]:
