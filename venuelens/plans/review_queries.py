@@ -554,5 +554,5 @@ def model_comparison(spark, folder):
     metrics, _, _ = run_models(prepare_reviews(reviews(spark, folder)), NUMERIC)
     return metrics.select(
         "model_name", "rows", *[r6(c) for c in (
-            "rmse_log", "mae_log", "r2_log", "rmse", "mae", "r2", "rank_correlation", "top_decile_rate")]
+            "rmse_log", "mae_log", "r2_log", "rmse", "mae", "r2", "rank_correlation", "top_decile_rate")], "error",
     )
