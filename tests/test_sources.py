@@ -73,6 +73,26 @@ def test_listing_cards(spark):
     ]
 
 
+def test_odd_markup(spark):
+    card = '<DIV data-automation=restaurantCard>{}</DIV>'
+    texts = {
+        1: "<div data-automation='bubbleRatingValue'><div><div><SPAN title='a > b'>4,<br>0 &amp; up</SPAN></div></div></div>",
+        2: "<p><p><span class='x f'><em>none</em></span><span class=f><b><span> A &lt; B </span></b></span>",
+        3: '<!-- <div data-automation="bubbleRatingValue"><span>9</span></div> --><script>"<span>"</script><div class="biqBm">\n<span class="biGQs">$</span>',
+        4: "<div data-automation='bubbleReviewCount'><span/></div><div class='no biqBmx'><span class='biGQs'>no</span></div>1 < 2",
+    }
+    page = lambda body: f'<!DOCTYPE html><p>"<div class="f"><span class="f">{body}</span>'
+    df = spark.createDataFrame([(k, page(card.format(t) + card.format(""))) for k, t in texts.items()], "page_id long, html string")
+    found = cards.extract_listing_cards(df)
+    rows = {r["page_id"]: tuple(r)[2:] for r in found.where("card_no = 0").collect()}
+    assert rows == {
+        1: ("4,0 & up", 0, "", "", False), 2: ("N/A", 0, "A < B", "", False), 3: ("N/A", 0, "", "$", False), 4: ("N/A", 0, "", "", False),
+    }
+    assert found.where("card_no = 1").count() == 4
+    plan = found._jdf.queryExecution().toString()
+    assert not any(x in plan for x in ("PythonUDF", "InPandas", "InArrow", "Exchange"))
+
+
 def test_cards_by_rules(spark):
     rules = cards.CardRules(r"(?s)<li>.*?</li>", {"name": r"<b>(.*?)</b>", "price": r"<i>(.*?)</i>"})
     pages = spark.createDataFrame([(1, "<ul><li><b>A</b><i>$</i></li>\n<li><b>B</b></li></ul>"), (2, None)], "page_id long, html string")

@@ -14,7 +14,7 @@ from venuelens.operators import matching as mt
 from venuelens.operators.materialize import shared_folder
 from venuelens.plans.bridge import restaurants, table
 from venuelens.plans.registry import query
-from venuelens.sources.cards import LINKS, extract_cards
+from venuelens.sources.cards import LINKS, extract_cards, extract_listing_cards
 from venuelens.sources.readers import RESTAURANT_SCHEMA, parse_csv, parse_responses, read_csv
 
 SCRAPED = ["rating", "reviews_count", "cuisine_type", "price", "is_sponsored"]
@@ -87,6 +87,27 @@ def page_cards(spark, folder):
     return extract_cards(table(spark, folder, "pages"), LINKS)
 
 
+# Every link of a page as a card: boxes with more or fewer elements than wanted, unclosed paragraphs, classes among others.
+CARD = """<div class="x" data-automation="restaurantCard"{sponsored}><img src="a.png"><div data-automation="bubbleRatingValue"><b>no</b><span class="r"> {label} </span></div>
+<div data-automation="bubbleReviewCount"><p>about<span>({target} <i>reviews</i>)</span><p>more</div><span>other</span>
+<span class="a f"><span>{label}, <b>{target}</b><!-- hidden --></span><span>later</span></span>
+<div class="biqBm"><p><span class="biGQs">below</span></p></div><div class='z biqBm'><em>from</em><span class="biGQs q">$$ - $$$</span></div></div><span class="f"><span>outside</span></span>"""
+_SPONSORED = ' data-sponsored="1"'
+
+
+@query("""WITH found AS (SELECT page_id, regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>') AS cards FROM pages),
+placed AS (SELECT page_id, cards, unnest(range(1, len(cards) + 1)) AS i FROM found),
+fields AS (SELECT page_id, i, regexp_extract(cards[i], 'href="([^"]*)"', 1) AS target, trim(regexp_extract(cards[i], '>([^<]*)<', 1)) AS label FROM placed)
+SELECT page_id, CAST(i - 1 AS INTEGER) AS card_no, label AS rating, TRY_CAST(regexp_replace(target, '[^0-9]', '', 'g') AS BIGINT) AS reviews_count,
+ label || ',' || target AS cuisine_type, '$$ - $$$' AS price, page_id % 2 = 0 AS is_sponsored FROM fields""")
+def listing_cards(spark, folder):
+    """Cards of listing pages, of which every link of the supplied pages makes one; the rest of a page stays as it is."""
+    pages = table(spark, folder, "pages").select("page_id", "html")
+    link = F.lit('<a href="([^"]*)">([^<]*)</a>')
+    card = lambda mark: F.regexp_replace("html", link, F.lit(CARD.replace("$", "\\$").format(sponsored=mark, label="$2", target="$1")))
+    return extract_listing_cards(pages.select("page_id", F.when(F.col("page_id") % 2 == 0, card(_SPONSORED)).otherwise(card("")).alias("html")))
+
+
 @query("""SELECT p_partkey, TRY_CAST(regexp_replace(p_brand, '[^0-9]', '', 'g') AS BIGINT) AS brand_number,
  TRY_CAST(regexp_replace(p_name, '[^0-9]', '', 'g') AS BIGINT) AS name_number FROM part""")
 def digits_to_int(spark, folder):
