@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegralType
 
-from venuelens.operators.bins import add_bin
-from venuelens.operators.quantiles import collapse, column_quantiles, count_ranges, extent, quantiles_of_counts
+from venuelens.operators.grouped import box_rows
+from venuelens.operators.quantiles import column_quantiles, extent
 
 
 @dataclass(frozen=True)
@@ -127,35 +127,5 @@ def scatter_grid(df: DataFrame, x: str, y: str, nx: int = 50, ny: int = 50) -> D
 
 
 def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Quartiles, whiskers at 1.5 interquartile ranges, and outliers per group.
-
-    Rows collapse to (group, value, count) before they meet the quartiles. That join carries a value
-    bin in its key, so the distinct values of one large group are still spread over many tasks.
-    """
-    collapsed = collapse(df, value, [group])
-    ranges = count_ranges(collapsed)
-    quartiles = quantiles_of_counts(collapsed, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [group], ranges)
-    counts = add_bin(collapsed, "_v", ranges, "_bin")
-    # Quartiles go to the bins that a group has, not to all: no more rows than distinct values.
-    fences = counts.select(group, "_bin").distinct().join(quartiles, group)
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    inside = F.col("_v").between(F.col("q1") - reach, F.col("q3") + reach)
-    return (
-        counts.join(fences, [group, "_bin"])
-        .groupBy(group, "n", "q1", "median", "q3")
-        .agg(
-            F.min(F.when(inside, F.col("_v"))).alias("_low"),
-            F.max(F.when(inside, F.col("_v"))).alias("_high"),
-            F.coalesce(F.sum(F.when(~inside, F.col("_w"))), F.lit(0)).cast("bigint").alias("outliers"),
-        )
-        .select(
-            group,
-            "n",
-            "q1",
-            "median",
-            "q3",
-            F.least("_low", "q1").alias("whisker_low"),
-            F.greatest("_high", "q3").alias("whisker_high"),
-            "outliers",
-        )
-    )
+    """Quartiles, whiskers at 1.5 interquartile ranges, and outliers per group; see ``grouped``."""
+    return box_rows(df, group, value)
