@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +23,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+@contextmanager
+def short_plans(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, plans are described in few words. The driver keeps a description of every execution and of each of its adaptive changes;
+    whole ones of large plans would fill it. What is executed stays the same."""
+    key = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "8192")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Write `df` to the shared folder and read it back: lineage ends there, and a lost executor costs no recomputation.
 
@@ -28,7 +43,8 @@ def keep(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with short_plans(spark):
+        df.write.parquet(path)
     _KEPT.append(path)
     _path(spark, path)[1].deleteOnExit(_path(spark, path)[0])
     return spark.read.schema(df.schema).parquet(path)

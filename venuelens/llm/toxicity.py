@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from venuelens.llm.storage import keep
 from venuelens.llm.words import ALNUM, Words, char_offsets, hash_ranges, slices, words_of
 
 #: Size of the hashed feature space, and so of the broadcast model: 4 bytes each.
@@ -74,7 +75,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     """Fit sentence weights to document labels.
 
     The training sample is bounded: most[0] clean and most[1] positive documents, of up to `longest` bytes each; their tokenised
-    sentences are gathered and fitted together. Without positive labels every score is near 0.
+    sentences are put together and fitted in one task. Without positive labels every score is near 0.
     NULL ids, texts and labels are left out; a repeated id is positive if one of its labels is.
     """
     chosen = F.broadcast(sample_labels(labels, id, label, most))
@@ -92,11 +93,17 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
                     rows.append((found[a:b].tobytes(), (begin[at[r] : at[r + 1]] - a).astype("<i4").tobytes()))
                 yield pa.RecordBatch.from_pydict({"y": batch.column("y"), "weight": batch.column("weight"), "found": [x[0] for x in rows], "begin": [x[1] for x in rows]})
 
-    sample = narrow.join(chosen, "id").mapInArrow(run, "y int, weight double, found binary, begin binary").toArrow()
-    model = _fit(sample)
-    del sample
-    pa.default_memory_pool().release_unused()
-    return model
+    def train(batches):
+        sample = [b for b in batches if b.num_rows]
+        model = _fit(pa.Table.from_batches(sample)) if sample else Model(np.zeros(BUCKETS, dtype=np.float32), -6.0)
+        yield pa.RecordBatch.from_pydict({"weights": [model.weights.tobytes()], "bias": [model.bias]})
+
+    # The sample is bounded and fitted in one task; the driver gets the weights.
+    sample = keep(narrow.join(chosen, "id").mapInArrow(run, "y int, weight double, found binary, begin binary"))
+    fitted = sample.coalesce(1).mapInArrow(train, "weights binary, bias double").toArrow()
+    if not fitted.num_rows:  # no file of the sample, no task
+        return Model(np.zeros(BUCKETS, dtype=np.float32), -6.0)
+    return Model(np.frombuffer(fitted.column("weights")[0].as_py(), np.float32), fitted.column("bias")[0].as_py())
 
 
 def _fit(sample: pa.Table, rounds: int = 150, rate: float = 0.1, sparse: float = 1e-4) -> Model:
