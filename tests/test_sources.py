@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import json
+import shutil
 
 from pyspark.sql import functions as F
 
 from venuelens.sources import cards, readers, writers
-from venuelens.streaming.ingest import ingest_pages
+from venuelens.streaming.ingest import ingest_pages, take_batch
 
 HEADER = ",Clothing ID,Age,Title,Review Text,Rating,Recommended IND,Positive Feedback Count,Division Name,Department Name,Class Name\n"
 
@@ -128,3 +129,20 @@ def test_ingest_takes_each_page_once(spark, tmp_path):
     assert run() == 6
     land(2, 3)
     assert run() == 9
+
+
+def test_a_batch_that_is_run_again_adds_nothing(spark, tmp_path):
+    out, keys = f"{tmp_path}/out", f"{tmp_path}/keys"
+    pages = lambda *ids: spark.createDataFrame([(k, f"u{k}", LISTING) for k in ids], "page_id long, url string, html string")
+    cards_of = lambda: sorted((r["page_id"], r["card_no"]) for r in spark.read.parquet(out).collect())
+    take_batch(pages(1, 2, 2), 0, out, keys)
+    take_batch(pages(2, 3), 1, out, keys)
+    want = [(k, n) for k in (1, 2, 3) for n in range(3)]
+    assert cards_of() == want
+    for lost in ((), ("keys",), ("out", "keys")):  # what a crash had not written yet, or had written in full
+        for name in lost:
+            shutil.rmtree(f"{tmp_path}/{name}/batch=1")
+        take_batch(pages(2, 3), 1, out, keys)
+        assert cards_of() == want
+    take_batch(pages(1, 2, 3), 2, out, keys)
+    assert cards_of() == want

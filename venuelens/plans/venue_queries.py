@@ -16,6 +16,7 @@ from venuelens.plans.bridge import restaurants, table
 from venuelens.plans.registry import query
 from venuelens.sources.cards import LINKS, extract_cards, extract_listing_cards
 from venuelens.sources.readers import RESTAURANT_SCHEMA, parse_csv, parse_responses, read_csv
+from venuelens.streaming.ingest import ingest_pages
 
 SCRAPED = ["rating", "reviews_count", "cuisine_type", "price", "is_sponsored"]
 # Dictionary of the matching query: names as they should be written.
@@ -87,6 +88,21 @@ def page_cards(spark, folder):
     return extract_cards(table(spark, folder, "pages"), LINKS)
 
 
+@query("""
+WITH found AS (SELECT page_id, regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>') AS cards FROM pages),
+placed AS (SELECT page_id, cards, unnest(range(1, len(cards) + 1)) AS i FROM found)
+SELECT page_id, CAST(i - 1 AS INTEGER) AS card_no, regexp_extract(cards[i], 'href="([^"]*)"', 1) AS target,
+ regexp_extract(cards[i], '>([^<]*)<', 1) AS label FROM placed""")
+def ingested_cards(spark, folder):
+    """All pages landed twice in two runs of the stream, in part for the second time: every page's cards once."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    path = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    for part in (pages.where("page_id % 3 <> 0"), pages):
+        part.write.mode("append").parquet(f"{path}/in")
+        ingest_pages(spark, f"{path}/in", f"{path}/cards", f"{path}/state", LINKS).awaitTermination()
+    return spark.read.parquet(f"{path}/cards").select("page_id", "card_no", "target", "label")
+
+
 # Every link of a page as a card: boxes with more or fewer elements than wanted, unclosed paragraphs, classes among others.
 CARD = """<div class="x" data-automation="restaurantCard"{sponsored}><img src="a.png"><div data-automation="bubbleRatingValue"><b>no</b><span class="r"> {label} </span></div>
 <div data-automation="bubbleReviewCount"><p>about<span>({target} <i>reviews</i>)</span><p>more</div><span>other</span>
