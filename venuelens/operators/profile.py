@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from venuelens.functions.text import char_count, combined_text, is_blank, text_or_empty, word_count
 from venuelens.operators.dedup import duplicate_digests, row_digest
 from venuelens.operators.distribution import binned_mean
+from venuelens.operators.gram import gram_correlations
 from venuelens.operators.materialize import materialize
 from venuelens.operators.quantiles import column_quantiles, extent, number, quantiles_of_counts
 
@@ -191,11 +192,17 @@ def text_profile(df: DataFrame, cols: Sequence[str], null_mode: str = "drop") ->
     return measured_text_profile(df.select(*[m.alias(name) for name, m in measures.items()]), cols)
 
 
+FEW = 24
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str], against: str | None = None) -> DataFrame:
-    """Pearson correlation of every pair of columns over the rows where both are present; one pass.
+    """Pearson correlation of every pair of columns over the rows where both are present.
 
-    ``against`` keeps only the pairs with that column. A constant column gives NULL.
+    ``against`` keeps only the pairs with that column. A constant column gives NULL. One pass with five aggregates a pair; all pairs of more than
+    ``FEW`` columns come from products of column blocks instead, see ``gram``, as a plan with that many aggregates could not be run.
     """
+    if against is None and len(cols) > FEW:
+        return gram_correlations(df, cols)
     pairs = [p for p in combinations(cols, 2) if against is None or p[0] == against]
     measures = []
     for i, (a, b) in enumerate(pairs):

@@ -464,6 +464,17 @@ def corr_matrix(spark, folder):
     return pf.corr_matrix(lines, [*LINE, "constant"]).select("col_a", "col_b", r6("corr"))
 
 
+# Forty columns with gaps of their own, made of the numbers of a line.
+WIDE = [f"CASE WHEN l_orderkey % {i + 3} <> 0 THEN CAST(l_quantity * {i % 7} + l_extendedprice * {i % 5} + l_linenumber * {i} AS DOUBLE) END AS c{i}" for i in range(40)]
+
+
+@query(f"WITH wide AS (SELECT {', '.join(WIDE)} FROM lineitem) SELECT col_a, col_b, CASE WHEN isfinite(c) THEN round(c, 6) END AS corr FROM (" + " UNION ALL ".join(
+    f"SELECT 'c{i}' AS col_a, 'c{j}' AS col_b, corr(c{i}, c{j}) AS c FROM wide" for i in range(40) for j in range(i + 1, 40)) + ")")
+def corr_wide(spark, folder):
+    lines = table(spark, folder, "lineitem").selectExpr(*WIDE)
+    return pf.corr_matrix(lines, lines.columns).select("col_a", "col_b", r6("corr"))
+
+
 def _axis(source: str, x: str, bins: int, where: str = "TRUE") -> str:
     return f"""SELECT lo, hi, (hi - lo) / {bins} AS w FROM (
  SELECT CAST(min({x}) AS DOUBLE) AS lo, CAST(max({x}) AS DOUBLE) AS hi FROM {source} WHERE {where})"""
