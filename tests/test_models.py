@@ -121,10 +121,45 @@ def test_champion_is_replaced_only_by_a_lower_error(spark, tmp_path):
     assert [champion.save_if_better(model, metric(e), path) for e in (None, 2.0, 2.0, 2.5, float("nan"), 1.0, None)] == [
         False, True, False, False, False, True, False]
     assert champion.champion_metrics(spark, path)["rmse"] == 1.0 and champion.champion_metrics(spark, path)["version"] == 2
-    assert len([p for p in tmp_path.iterdir() if p.name.startswith("model-")]) == 1
+    assert len(list((tmp_path / "models").iterdir())) == len([p for p in (tmp_path / "versions").iterdir() if p.suffix == ".json"]) == 1
     assert champion.load_champion(spark, path).transform(df).first()["prediction"] == 2.0
 
 
+@pytest.mark.parametrize("own, kept, left", [(0.7, 0.5, 0.5), (0.3, 0.5, 0.3)])
+def test_two_writers_at_once(spark, tmp_path, monkeypatch, own, kept, left):
+    """The other run commits after this one has looked and saved its model; the loser of the race looks again."""
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, 3.0)], "a double, label double")
+    model, path, create = ml.fit_mean(df, ml.FeatureSpec(("a",))), str(tmp_path), champion._create
+    metric = lambda e: spark.createDataFrame([("m", e)], "model_name string, rmse double")
+    assert champion.save_if_better(model, metric(2.0), path)
+
+    def meanwhile(*args):
+        monkeypatch.setattr(champion, "_create", create)
+        assert champion.save_if_better(model, metric(kept), path)
+        return create(*args)
+
+    monkeypatch.setattr(champion, "_create", meanwhile)
+    assert champion.save_if_better(model, metric(own), path) == (own < kept)
+    now = champion.champion_metrics(spark, path)
+    assert now["rmse"] == left and now["version"] == 2 + (own < kept)
+    assert [p.name for p in (tmp_path / "models").iterdir()] == [now["model_path"].rsplit("/", 1)[1]]
+    assert champion.load_champion(spark, path).transform(df).first()["prediction"] == 2.0
+
+
+def test_unfinished_versions_and_orphans(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(champion, "PATIENCE", 1)
+    df = spark.createDataFrame([(1.0, 1.0)], "a double, label double")
+    model, path = ml.fit_mean(df, ml.FeatureSpec(("a",))), str(tmp_path)
+    metric = lambda e: spark.createDataFrame([("m", e)], "model_name string, rmse double")
+    assert champion.save_if_better(model, metric(2.0), path)
+    (tmp_path / "versions" / "0000000002.json").write_text('{"rmse": 1.')
+    model.write().save(f"{path}/models/lost")
+    assert champion.champion_metrics(spark, path)["rmse"] == 2.0
+    assert champion.save_if_better(model, metric(1.5), path) and champion.champion_metrics(spark, path)["version"] == 3
+    assert champion.remove_orphans(spark, path) == 0 and champion.remove_orphans(spark, path, 0) == 1
+    assert champion.load_champion(spark, path) is not None
+
+
 def test_review_pipeline(spark, tmp_path):
     reviews = reviews_frame(spark)
     prepared = rp.prepare_reviews(reviews)
