@@ -109,6 +109,20 @@ def test_row_level_plan_has_one_shuffle_of_the_rows(spark):
     assert "BatchEvalPython" not in plan
 
 
+@pytest.mark.parametrize("few", [50_000, 20, 1])
+def test_top_decile_of_text_keys(spark, monkeypatch, few):
+    monkeypatch.setattr(rk, "FEW", few)
+    rng = np.random.default_rng(4)
+    keys = {"".join(rng.choice(list("aZ-_9é\U0001f355"), rng.integers(0, 9))) for _ in range(900)}
+    rows = [(float(rng.integers(0, 3)), k, 1) for k in keys] + [(None, "zz", 1)]
+    df = spark.createDataFrame(rows, "v double, k string, _key int")
+    for part in (df, df.filter("v = 1"), df.limit(0)):
+        known = [tuple(r) for r in part.filter("v is not null").collect()]
+        want = sorted(known, key=lambda r: (r[0], r[1].encode()))[len(known) - max(1, len(known) // 10) :] if known else []
+        got = sorted(map(tuple, rk.top_decile(part, "v", "k").collect()), key=lambda r: (r[0], r[1].encode()))
+        assert got == want
+
+
 def test_rank_correlation_and_top_decile(spark):
     rng = np.random.default_rng(5)
     actual, score = rng.integers(0, 4, 400), np.round(rng.normal(size=400), 1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from venuelens.operators.bins import default_parts
 from venuelens.operators.materialize import materialize
@@ -72,6 +72,9 @@ def add_positions(
     return ranked.unionByName(unplaced.withColumns({c: F.lit(None).cast("bigint") for c in RANK_COLUMNS}))
 
 
+#: Texts that one buffer holds in the search for a key.
+FEW = 50_000
+
 RANK_COLUMNS = ("rank_n", "rank_less", "rank_ties", "rank_ordinal")
 
 
@@ -93,11 +96,32 @@ def decile_size() -> Column:
     return F.greatest(F.lit(1), F.floor(F.col("rank_n") / 10))
 
 
+def _nth_text(df: DataFrame, key: str, wanted: int) -> str:
+    """The ``wanted``-th largest of unique texts by their bytes.
+
+    Each pass counts the texts that go on from a prefix with each character and takes the character at which the wanted one lies, until
+    few enough are left for one buffer. What reaches the driver is a row for each character of the alphabet.
+    """
+    texts, prefix = df.select(F.col(key).alias("_key")), ""
+    while True:
+        within = texts.filter(F.startswith("_key", F.lit(prefix)))
+        if within.count() <= FEW:
+            return within.agg(F.sort_array(F.collect_list("_key"), asc=False)).first()[0][wanted - 1]
+        following = within.groupBy(F.substring("_key", len(prefix) + 1, 1).alias("next")).count().collect()
+        for row in sorted(following, key=lambda r: r["next"].encode(), reverse=True):
+            if wanted <= row["count"]:
+                break
+            wanted -= row["count"]
+        if not row["next"]:  # the text that ends here
+            return prefix
+        prefix += row["next"]
+
+
 def top_decile(df: DataFrame, score: str, key: str, groups: Sequence[str] = (), parts: int | None = None) -> DataFrame:
     """The tenth of the rows with the highest score, at least one row; ties go to the highest key.
 
     With groups this reads ranks. Without, the lowest score and key of the tenth are searched by counting passes: rows are
-    neither sorted nor moved. Scores must be numbers then, and keys whole numbers.
+    neither sorted nor moved. Scores must be numbers then, and keys whole numbers or texts, ordered by their bytes.
     """
     if groups:
         return (
@@ -115,6 +139,8 @@ def top_decile(df: DataFrame, score: str, key: str, groups: Sequence[str] = (),
     tied, wanted = df.filter(value == cut), keep - counts["above"]
     if wanted == counts["at"]:
         return df.filter(value >= cut)
+    if isinstance(df.schema[key].dataType, T.StringType):
+        return df.filter((value > cut) | ((value == cut) & (F.col(key) >= _nth_text(tied, key, wanted))))
     # Halves of a key are exact as doubles, whatever its size.
     high, low = F.shiftright(F.col(key).cast("bigint"), 32), F.col(key).cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))
     top = int(values_at_ranks(tied, high.cast("double"), [counts["at"] - wanted])[0])

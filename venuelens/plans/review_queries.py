@@ -386,6 +386,17 @@ def predicted_percentile(spark, folder):
     return ranked.select("event_id", F.round("predicted_percentile", 9).alias("predicted_percentile"))
 
 
+@query("""WITH named AS (SELECT substr(md5(CAST(event_id AS VARCHAR)), 1, 22) AS id, floor(value / 30) AS score FROM events)
+SELECT id, CAST(score AS DOUBLE) AS score FROM (SELECT *, row_number() OVER (ORDER BY score DESC, id DESC) AS nth, count(*) OVER () AS n FROM named)
+WHERE nth <= greatest(1, n // 10)""")
+def top_decile_by_text(spark, folder):
+    """The tenth of the events with the highest score; ties go by an id that is a text."""
+    named = table(spark, folder, "events").select(
+        F.substring(F.md5(F.col("event_id").cast("string")), 1, 22).alias("id"), F.floor(F.col("value") / 30).cast("double").alias("score")
+    )
+    return rk.top_decile(named, "score", "id")
+
+
 # A stand-in prediction for the metrics: a fixed function of the event's user.
 GUESS = "18 + (user_id * 7) % 82"
 PAIRS = f"pairs AS (SELECT event_id, floor(value / 30) AS y, CAST({GUESS} AS DOUBLE) / 17 AS p FROM events)"
