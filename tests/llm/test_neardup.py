@@ -56,6 +56,30 @@ def test_groups_agree_with_brute_force(frame):
         assert all(r.kept == (r.component_id == i) for i, r in got.items())
 
 
+def test_keys_are_shared_up_to_one_wrong_symbol_a_chunk():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    a, b = rng.integers(0, 3, (2, 500, neardup.SYMBOLS)).astype(np.uint8)
+    same = neardup.keys_of(a) == neardup.keys_of(b)
+    assert (neardup.first_keys(a, b) == np.where(same.any(axis=1), same.argmax(axis=1), -1)).all()
+
+
+def test_crowded_keys_lose_no_link(frame, monkeypatch):
+    """A passage common to all texts crowds the keys; near pairs beside it are still found, with pairs by rare shingles only and with both ways."""
+    rng = random.Random(8)
+    passage, texts = prose(1, 60), []
+    for i in range(45):
+        text = passage + " " + prose(100 + i, 25)
+        texts += [text, edited(text, rng.randrange(1, 6), rng)]
+    texts = list(enumerate(texts + [passage, None, "one"]))
+    want = brute(texts, 2, 80)
+    for crowd in (0, 16):
+        monkeypatch.setattr(neardup, "CROWD", crowd)
+        got = neardup.near_duplicates(frame(texts), size=2).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
 def test_odd_rows(frame, odd):
     found = neardup.near_duplicates(odd).collect()
     assert len(found) == odd.count()
