@@ -235,7 +235,7 @@ def _counters(texts: DataFrame, size: int) -> np.ndarray:
 
 
 def _rare(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(id, component, n, key): as many of each text's rarest shingles as any near text must share one of.
+    """(id, component, n, key, place): as many of each text's rarest shingles as any near text must share one of, and their places in its order.
 
     Texts of n and m shingles that are near share at least percent * max(n, m) / 100. Under one order of all shingles, here from rare to frequent
     classes, each then has a shared one among its first n + 1 less that number. Exact for any order; a good one keeps the rows of common passages apart.
@@ -249,13 +249,14 @@ def _rare(texts: DataFrame, size: int, percent: int) -> DataFrame:
                 n = np.diff(at)
                 rows = np.repeat(np.arange(batch.num_rows), n)
                 order = np.lexsort((sets, shared.value[(sets & np.uint64(COUNTERS - 1)).astype(np.int64)], rows))
-                first = (np.arange(len(sets)) - at[rows]) < (n - (percent * n + 99) // 100 + 1)[rows]
+                place = np.arange(len(sets)) - at[rows]
+                first = place < (n - (percent * n + 99) // 100 + 1)[rows]
                 rows = pa.array(rows[first])
-                columns = [batch.column("id").take(rows), batch.column("component").take(rows), pa.array(n).take(rows), pa.array(sets[order][first].view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "component", "n", "key"])
+                columns = [batch.column("id").take(rows), batch.column("component").take(rows), pa.array(n).take(rows), pa.array(sets[order][first].view(np.int64)), pa.array(place[first])]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "component", "n", "key", "place"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.select("id", "component", "text").mapInArrow(run, f"id {kind}, component {kind}, n long, key long")
+    return texts.select("id", "component", "text").mapInArrow(run, f"id {kind}, component {kind}, n long, key long, place long")
 
 
 def _with_main(rows: DataFrame) -> DataFrame:
@@ -329,7 +330,10 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     side = lambda name: F.struct(*[f"{name}.{c}" for c in ("id", "n", "sig", "both", "rest", "bits", "mask")]).alias(name)
     few = _across(open_keys.where(F.col("outside") <= CROWD), percent).select("key", side("x"), side("y"))
     rare = keep(_rare(keep(texts.join(open_keys.where(F.col("outside") > CROWD).select("id", "component").distinct(), "id")), size, percent))
-    crowded = _across(rare.join(_with_main(rare).select("key", "main"), "key"), percent).select("x.id", F.col("y.id").alias("other"))
+    # Of the first shingle that two texts share, in the order, the ones after it bound what they share in all.
+    most = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    crowded = _across(rare.join(_with_main(rare).select("key", "main"), "key"), percent)
+    crowded = crowded.where((100 + percent) * most >= percent * (F.col("x.n") + F.col("y.n"))).select("x.id", F.col("y.id").alias("other"))
     crossed = _open_pairs(few, percent).union(crowded).select(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other")).distinct()
     more = _compare(crossed, texts, size, percent).where("near").select(F.col("id").alias("a"), F.col("other").alias("b"))
     groups = components(links.union(more))
