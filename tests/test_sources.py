@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import shutil
+import time
 
 from pyspark.sql import functions as F
 
@@ -94,6 +95,20 @@ def test_odd_markup(spark):
     assert not any(x in plan for x in ("PythonUDF", "InPandas", "InArrow", "Exchange"))
 
 
+def test_elements_are_looked_through_once(spark):
+    """A card of many tokens: the name of its tag was taken from a copy of the rest of the page for each of them."""
+    card = lambda n: "<div data-automation='restaurantCard'>" + "<b>x</b><div>" * n + "</div>" * n + "</div><p>"
+
+    def seconds(n):
+        df = spark.createDataFrame([(1, card(n))], "page_id long, html string")
+        began = time.perf_counter()
+        assert [tuple(r) for r in cards.extract_listing_cards(df).collect()] == [(1, 0, "N/A", 0, "", "", False)]
+        return time.perf_counter() - began
+
+    seconds(100)
+    assert seconds(8000) < 20
+
+
 def test_cards_by_rules(spark):
     rules = cards.CardRules(r"(?s)<li>.*?</li>", {"name": r"<b>(.*?)</b>", "price": r"<i>(.*?)</i>"})
     pages = spark.createDataFrame([(1, "<ul><li><b>A</b><i>$</i></li>\n<li><b>B</b></li></ul>"), (2, None)], "page_id long, html string")

@@ -57,7 +57,7 @@ def _has_class(token: Column, name: str) -> Column:
 
 
 def _has_role(token: Column, role: str) -> Column:
-    return token["raw"].rlike(_attribute("data-automation", role))
+    return token["raw"].contains(role) & token["raw"].rlike(_attribute("data-automation", role))
 
 
 def _opens(token: Column, tag: str) -> Column:
@@ -65,12 +65,16 @@ def _opens(token: Column, tag: str) -> Column:
 
 
 def _tokens(html: Column) -> Column:
-    """The tags and texts of a page in order: ``raw``, lower-case ``tag``, and ``kind`` 1 for a start, -1 for an end, 0 for all else."""
+    """The tags and texts of a page in order: ``raw``, lower-case ``tag``, ``kind`` 1 for a start, -1 for an end, 0 for all else, and its number."""
     tag = lambda raw: F.lower(F.regexp_extract(raw, r"^</?([A-Za-z][^\s/>]*)", 1))
     named = F.transform(F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0)), lambda raw: F.struct(raw.alias("raw"), tag(raw).alias("tag")))
     nothing = lambda t: (t["tag"] == "") | t["tag"].isin("script", "style", *_VOID) | t["raw"].endswith("/>")
     kind = lambda t: F.when(nothing(t), 0).when(t["raw"].startswith("</"), -1).otherwise(1)
-    return F.transform(named, lambda t: F.struct(t["raw"].alias("raw"), t["tag"].alias("tag"), kind(t).alias("kind")))
+    return F.transform(named, lambda t, i: F.struct(t["raw"].alias("raw"), t["tag"].alias("tag"), kind(t).alias("kind"), i.alias("no")))
+
+
+# A length beyond that of any page's tokens.
+_ALL = 1 << 30
 
 
 def _element(tokens: Column, at: Column) -> Column:
@@ -78,16 +82,15 @@ def _element(tokens: Column, at: Column) -> Column:
 
     Other tags left open inside it do not matter. One that is never closed reaches to the end.
     """
-    rest = F.slice(tokens, at, F.size(tokens))
-    own = F.get(rest, F.lit(0))["tag"]
+    start = F.get(tokens, at - 1)
+    same = F.filter(F.slice(tokens, at, _ALL), lambda t: t["tag"] == start["tag"])
 
     def step(seen: Column, t: Column) -> Column:
-        depth = seen["depth"] + F.when(t["tag"] == own, t["kind"]).otherwise(0)
-        return F.struct(depth.alias("depth"), (seen["i"] + 1).alias("i"), F.when((seen["end"] == 0) & (depth == 0), seen["i"] + 1).otherwise(seen["end"]).alias("end"))
+        depth = seen["depth"] + t["kind"]
+        return F.struct(depth.alias("depth"), F.when((seen["end"] < 0) & (depth == 0), t["no"]).otherwise(seen["end"]).alias("end"))
 
-    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("i"), F.lit(0).alias("end"))
-    end = F.aggregate(rest, start, step)["end"]
-    return F.slice(rest, 1, F.when(end > 0, end).otherwise(F.size(rest)))
+    end = F.aggregate(same, F.struct(F.lit(0).alias("depth"), F.lit(-1).alias("end")), step, lambda seen: F.when(seen["end"] < 0, _ALL).otherwise(seen["end"]))
+    return F.slice(tokens, at, F.least(F.lit(_ALL), end - start["no"] + 1))
 
 
 def _first(tokens: Column, condition) -> Column:
@@ -142,7 +145,7 @@ def extract_listing_cards(pages: DataFrame, key: str = "page_id", html: str = "h
         cards = cards.withColumn(name, F.when(F.col(f"_{name}_span") > 0, _text(_element(F.col(f"_{name}_box"), F.col(f"_{name}_span")))))
 
     places = lambda condition: F.filter(F.transform(card, lambda t, i: F.when(condition(t), i + 1)), lambda i: i.isNotNull())
-    inner = lambda e: F.slice(e, 2, F.size(e))
+    inner = lambda e: F.slice(e, 2, _ALL)
     named = F.transform(places(lambda t: _opens(t, "span") & _has_class(t, "f")), lambda at: inner(_element(card, at)))
     cards = cards.withColumn("_named", F.get(F.filter(named, lambda e: F.exists(e, lambda t: _opens(t, "span"))), F.lit(0)))
     cards = cards.withColumn("cuisine_type", _text(_element(F.col("_named"), _first(F.col("_named"), lambda t: _opens(t, "span")))))
