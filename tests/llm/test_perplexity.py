@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 
 from tests.llm.conftest import prose
-from venuelens.llm import perplexity
+from venuelens.llm import perplexity, storage
 
 
 def brute(trusted, texts, share):
@@ -89,3 +89,9 @@ def test_vocabulary_does_not_depend_on_the_size_of_the_table(spark, frame):
     few = perplexity.fit(frame(small))[0]
     many = perplexity.fit(frame(small).select("doc_id", "text").union(hot))[0]
     assert len(few.words) > 50 and np.isin(few.words, many.words).all() and len(many.words) == len(few.words) + 2
+
+
+def test_only_the_table_of_bigrams_stays_written(frame):
+    before = storage.mark()
+    _, table = perplexity.fit(frame([(i, f"a b c a b d {i % 7} e") for i in range(50)]))
+    assert storage.mark() == before + 1 and table.count() >= 0

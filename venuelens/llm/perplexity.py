@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venuelens.llm.storage import keep
+from venuelens.llm.storage import keep, mark, release
 from venuelens.llm.words import NO_SPACE, Words, mix, slices, words_of
 
 #: Numbers of the words outside the vocabulary and of the start of a text; vocabulary words follow.
@@ -123,12 +123,14 @@ def fit(trusted: DataFrame, text: str = "text", share: float = 0.0, head: float
     docs = trusted.select(F.col(text).cast("string").alias("text"))
     empty = np.zeros(0)
     lower = Lower(np.zeros(0, np.uint64), np.zeros(2), np.zeros(2), 0.0, np.zeros(0, np.int64), empty)
+    before_fit = mark()
     words = keep(_counted(docs, None))
     total = words.agg(F.sum("n")).first()[0] or 0
     if total:
         known = words.where(F.col("n") >= max(2.0, share * total)).select("key").toArrow().column("key").to_numpy()
         lower.words = np.sort(known.view(np.uint64))
         lower.rare = -float(np.log(words.count() - len(known) + 1))
+    release(trusted.sparkSession, before_fit)
     size = len(lower.words) + 2
     pairs = keep(_counted(docs, lower))
     d = _discounts(_counts_of(pairs, "n"))
@@ -159,6 +161,8 @@ def fit(trusted: DataFrame, text: str = "text", share: float = 0.0, head: float
             yield pa.RecordBatch.from_pydict({"key": batch.column("key"), "n": batch.column("n"), "gain": gain})
 
     gains = keep(pairs.mapInArrow(run, "key long, n long, gain double"))
+    # The counts are not needed any more: of what was written, the table of the bigrams stays.
+    release(trusted.sparkSession, before_fit, mark() - 1)
     frequent = F.col("n") >= max(2.0, head * total)
     top = gains.where(frequent).select("key", "gain").toArrow()
     order = np.argsort(top.column("key").to_numpy())
