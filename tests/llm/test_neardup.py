@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from tests.llm.conftest import prose
 from venuelens.llm import neardup
-from venuelens.llm.components import components
+from venuelens.llm.components import _large_star, _small_star, components
 
 
 def brute(texts, size, percent):
@@ -120,3 +123,18 @@ def test_shares_of_wrong_symbols_bound_the_similarity():
     wrong = (s[0::2] != s[1::2]).sum(axis=1)
     assert wrong.max() <= neardup.MOST_WRONG
     assert abs(wrong.mean() / neardup.SYMBOLS - 0.2) < 0.02
+
+
+def test_counters_are_added_up_within_tasks(frame):
+    texts = [(i, " ".join(f"w{(i * 31 + k * k) % 997}" for k in range(300))) for i in range(60)]
+    df = frame(texts).repartition(3)
+    sets, _ = neardup.shingle_sets(pa.array([t for _, t in texts]), 2)
+    want = np.bincount((sets & np.uint64(neardup.COUNTERS - 1)).astype(np.int64), minlength=neardup.COUNTERS)
+    assert (neardup._counters(df, 2) == want).all()
+    assert neardup._counted_blocks(df, 2).count() <= 3 * neardup.COUNTERS // neardup.BLOCK < (want > 0).sum()
+
+
+def test_minima_of_links_are_not_broadcast(spark):
+    links = spark.createDataFrame([(i, i // 2) for i in range(1, 50)], "u long, v long")
+    plan = _small_star(_large_star(links))._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

@@ -13,6 +13,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Rounds of large-star and small-star (Kiveris et al. 2014): links are replaced by links to the smallest neighbour until
     nothing changes, in about log n rounds. Minima are pre-aggregated; rows of a node never meet in one task.
+    They are sent by hash: as broadcasts, dozens of them a call, they would all pass through the driver and stay there until it collects its garbage.
     NULL ends and links to oneself give nothing; no links give no rows.
     """
     links = keep(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
@@ -29,11 +30,11 @@ def components(links: DataFrame) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select("v", "u"))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return both.join(low.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     low = links.groupBy("u").agg(F.min("v").alias("m"))
-    met = links.join(low, "u")
+    met = links.join(low.hint("merge"), "u")
     ends = met.select(F.col("v").alias("u"), F.col("m").alias("v")).union(met.select("u", "m"))
     return ends.where("u <> v").distinct()

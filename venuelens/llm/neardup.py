@@ -27,7 +27,7 @@ _SEEDS = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64)) | np.uint64(1)
 #: A key with more members than this outside its main group gives no pairs of all; its members are found by rare shingles instead.
 CROWD = 16
 #: Counters by which shingles are ordered from rare to frequent: a broadcast of fixed size, 8 MB.
-COUNTERS = 1 << 20
+COUNTERS, BLOCK = 1 << 20, 1 << 14
 
 #: Bits that sum up the shingles which a member does not share with its key's pivot.
 MASK = 512
@@ -218,20 +218,36 @@ def _compare(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return rows.mapInArrow(run, f"id {kind}, other {kind}, near boolean, both long, rest long, bits long, mask binary")
 
 
-def _counters(texts: DataFrame, size: int) -> np.ndarray:
-    """How often the shingles of each of COUNTERS classes occur in `texts` (id, text)."""
+def _counted_blocks(texts: DataFrame, size: int) -> DataFrame:
+    """(block, n): how often the shingles of BLOCK classes each occur in a task's part of `texts` (id, text); at most COUNTERS / BLOCK rows a task."""
 
     def run(batches):
+        own = np.zeros(COUNTERS, dtype=np.int64)
         for whole in batches:
             for batch in slices(whole, "text", 1 << 20):
                 sets, _ = shingle_sets(batch.column("text"), size)
-                at, n = np.unique(sets & np.uint64(COUNTERS - 1), return_counts=True)
-                yield pa.RecordBatch.from_pydict({"at": pa.array(at.astype(np.int32)), "n": pa.array(n, pa.int64())})
+                own += np.bincount((sets & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+        blocks = own.reshape(-1, BLOCK)
+        held = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_pydict({"block": pa.array(held.astype(np.int32)), "n": _bytes(blocks[held].view(np.uint8))})
 
-    found = texts.select("text").mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(COUNTERS, dtype=np.int64)
-    out[found.column("at").to_numpy()] = found.column("n").to_numpy()
-    return out
+    return texts.select("text").mapInArrow(run, "block int, n binary")
+
+
+def _counters(texts: DataFrame, size: int) -> np.ndarray:
+    """How often the shingles of each of COUNTERS classes occur in `texts` (id, text)."""
+
+    def add(group: pa.Table) -> pa.Table:
+        total = np.zeros(BLOCK, dtype=np.int64)
+        for n in group.column("n").to_pylist():
+            total += np.frombuffer(n, np.int64)
+        return pa.table({"block": group.column("block")[:1], "n": [total.tobytes()]})
+
+    found = _counted_blocks(texts, size).groupBy("block").applyInArrow(add, "block int, n binary").toArrow()
+    out = np.zeros((COUNTERS // BLOCK, BLOCK), dtype=np.int64)
+    for block, n in zip(found.column("block").to_pylist(), found.column("n").to_pylist()):
+        out[block] = np.frombuffer(n, np.int64)
+    return out.ravel()
 
 
 def _rare(texts: DataFrame, size: int, percent: int) -> DataFrame:
