@@ -95,3 +95,18 @@ def test_only_the_table_of_bigrams_stays_written(frame):
     before = storage.mark()
     _, table = perplexity.fit(frame([(i, f"a b c a b d {i % 7} e") for i in range(50)]))
     assert storage.mark() == before + 1 and table.count() >= 0
+
+
+def test_passes_leave_the_result_and_exchange_a_part_each(frame, monkeypatch):
+    lower, table = perplexity.fit(frame([(i, prose(i % 9, 60)) for i in range(30)]), head=0.5)
+    docs = frame([(i, prose(i, 50)) for i in range(12)] + [(3, prose(3, 50)), (20, None)])
+    want = brute([prose(i % 9, 60) for i in range(30)], [(i, prose(i, 50)) for i in range(12)] + [(20, None)], 0.0)
+    written = []
+    monkeypatch.setattr(perplexity, "keep", lambda df: written.append(storage.keep(df)) or written[-1])
+    for passes in (1, 2, 5):
+        written.clear()
+        got = perplexity.perplexity(docs, (lower, table), passes=passes).collect()
+        assert len(got) == 14 and len(written) == passes
+        assert passes == 1 or all(0 < df.count() for df in written)
+        for r in got:
+            assert r.perplexity is None if want[r.doc_id] is None else math.isclose(r.perplexity, want[r.doc_id], rel_tol=1e-6)

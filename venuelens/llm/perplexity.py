@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -161,6 +162,7 @@ def fit(trusted: DataFrame, text: str = "text", share: float = 0.0, head: float
             yield pa.RecordBatch.from_pydict({"key": batch.column("key"), "n": batch.column("n"), "gain": gain})
 
     gains = keep(pairs.mapInArrow(run, "key long, n long, gain double"))
+    shared.destroy()
     # The counts are not needed any more: of what was written, the table of the bigrams stays.
     release(trusted.sparkSession, before_fit, mark() - 1)
     frequent = F.col("n") >= max(2.0, head * total)
@@ -172,12 +174,14 @@ def fit(trusted: DataFrame, text: str = "text", share: float = 0.0, head: float
     return lower, table
 
 
-def perplexity(docs: DataFrame, model: tuple[Lower, DataFrame], id: str = "doc_id", text: str = "text") -> DataFrame:
+def perplexity(docs: DataFrame, model: tuple[Lower, DataFrame], id: str = "doc_id", text: str = "text", passes: int = 2) -> DataFrame:
     """(doc_id, n_tokens, perplexity) of every whole text.
 
     The lower order and frequent bigrams are scored where the text is; every other bigram of a text that may be
-    listed, by the filter, is sent once, to be joined with the sharded table, and the text gets the sum back. Texts are not dealt out: a second pass over them costs less. NULL and blank
-    texts have no tokens and perplexity NULL; rows equal in id and text are scored once and returned as often as they occur.
+    listed, by the filter, is sent once, to be joined with the sharded table, and the text gets the sum back. Texts are not dealt out: further passes over them cost less.
+    The bigrams are dealt to `passes` passes over the texts, each with its share of the table; what a pass has exchanged goes when its sums are
+    written, so the disk holds one pass at a time. NULL and blank texts have no tokens and perplexity NULL; rows equal in id and text are
+    scored once and returned as often as they occur.
     """
     lower, table = model
     shared = docs.sparkSession.sparkContext.broadcast(lower)
@@ -205,21 +209,29 @@ def perplexity(docs: DataFrame, model: tuple[Lower, DataFrame], id: str = "doc_i
             sums = np.bincount(rows, logs, batch.num_rows).astype(np.float64)
             yield pa.RecordBatch.from_pydict({"doc": batch.column("doc"), "doc_id": batch.column("doc_id"), "n_tokens": pa.array(np.diff(w.first), pa.int64()), "logs": sums})
 
-    def asking(batches):
-        for batch, _, _, _, rows, key, _, is_head in parts(batches):
-            tail = np.flatnonzero(~is_head & _may_be_listed(shared.value, key))
-            order = tail[np.lexsort((key[tail], rows[tail]))]
-            new = np.ones(len(order), bool)
-            new[1:] = (key[order][1:] != key[order][:-1]) | (rows[order][1:] != rows[order][:-1])
-            begin = np.flatnonzero(new)
-            times = np.diff(np.append(begin, len(order)))
-            docs = batch.column("doc").to_numpy()[rows[order[begin]]]
-            yield pa.RecordBatch.from_pydict({"doc": docs, "key": pa.array(key[order[begin]], pa.int64()), "times": pa.array(times, pa.int32())})
+    def asking(number: int):
+        def run(batches):
+            for batch, _, v, x, rows, key, _, is_head in parts(batches):
+                tail = np.flatnonzero(~is_head & ((v + x) % passes == number))
+                tail = tail[_may_be_listed(shared.value, key[tail])]
+                order = tail[np.lexsort((key[tail], rows[tail]))]
+                new = np.ones(len(order), bool)
+                new[1:] = (key[order][1:] != key[order][:-1]) | (rows[order][1:] != rows[order][:-1])
+                begin = np.flatnonzero(new)
+                times = np.diff(np.append(begin, len(order)))
+                docs = batch.column("doc").to_numpy()[rows[order[begin]]]
+                yield pa.RecordBatch.from_pydict({"doc": docs, "key": pa.array(key[order[begin]], pa.int64()), "times": pa.array(times, pa.int32())})
+
+        return run
 
     rows = narrow.mapInArrow(local, f"doc long, doc_id {kind}, n_tokens long, logs double")
     rows = rows.groupBy("doc", "doc_id").agg(F.first("n_tokens").alias("n_tokens"), F.first("logs").alias("logs"), F.count("*").cast("int").alias("copies"))
-    asked = narrow.mapInArrow(asking, "doc long, key long, times int")
-    gained = asked.join(table, "key").groupBy("doc").agg(F.sum(F.col("times") * F.col("gain")).alias("gained"))
+    turn = (F.shiftright("key", 32) + F.col("key").bitwiseAND(F.lit(0xFFFFFFFF))) % passes
+    sums = []
+    for number in range(passes):
+        asked = narrow.mapInArrow(asking(number), "doc long, key long, times int")
+        sums.append(keep(asked.join(table.where(turn == number), "key").groupBy("doc").agg(F.sum(F.col("times") * F.col("gain")).alias("gained"))))
+    gained = reduce(DataFrame.union, sums).groupBy("doc").agg(F.sum("gained").alias("gained"))
     logs = F.col("logs") + F.coalesce(F.col("gained") / F.col("copies"), F.lit(0.0))
     found = rows.join(gained, "doc", "left").withColumn("_", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
     return found.select("doc_id", "n_tokens", F.when(F.col("n_tokens") > 0, F.exp(-logs / F.col("n_tokens"))).alias("perplexity"))
