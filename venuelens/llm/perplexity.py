@@ -112,6 +112,12 @@ def _may_be_listed(lower: Lower, keys: np.ndarray) -> np.ndarray:
     return (lower.filter[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
+def _in_head(lower: Lower, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each key among the frequent bigrams, and whether it is one."""
+    at = np.minimum(np.searchsorted(lower.head, keys), max(len(lower.head) - 1, 0))
+    return at, lower.head[at] == keys if len(lower.head) else np.zeros(len(keys), bool)
+
+
 def fit(trusted: DataFrame, text: str = "text", share: float = 0.0, head: float = 2e-7) -> tuple[Lower, DataFrame]:
     """The model of all of `trusted`: what is broadcast, and the table (key, gain) of the other bigrams.
 
@@ -150,27 +156,26 @@ def fit(trusted: DataFrame, text: str = "text", share: float = 0.0, head: float
     all_types = max(met.sum(), 1.0)
     freed = cut.sum() if met.sum() else 1.0
     lower.weight, lower.continuation = weight, np.log((met - cut) / all_types + freed / all_types / size)
-    shared = trusted.sparkSession.sparkContext.broadcast((lower, c, d))
+    shared = trusted.sparkSession.sparkContext.broadcast((lower.weight, lower.continuation, c, d))
 
-    def run(batches):
-        lower, c, d = shared.value
+    def gains(batches):
+        weight, continuation, c, d = shared.value
         for batch in batches:
             key, n = batch.column("key").to_numpy(), batch.column("n").to_numpy()
             v, w = key >> 32, key & 0xFFFFFFFF
             seen = (n - np.where(n == 1, d[0], np.where(n == 2, d[1], d[2]))) / c[v]
-            gain = np.log1p(seen / np.exp(lower.weight[v] + lower.continuation[w]))
-            yield pa.RecordBatch.from_pydict({"key": batch.column("key"), "n": batch.column("n"), "gain": gain})
+            gain = np.log1p(seen / np.exp(weight[v] + continuation[w]))
+            yield pa.RecordBatch.from_pydict({"key": batch.column("key"), "gain": gain})
 
-    gains = keep(pairs.mapInArrow(run, "key long, n long, gain double"))
-    shared.destroy()
-    # The counts are not needed any more: of what was written, the table of the bigrams stays.
-    release(trusted.sparkSession, before_fit, mark() - 1)
+    # Of what was written the counts of bigrams stay; they take half the room of the gains, which are computed where they are read.
+    release(trusted.sparkSession, before_fit + 1)
     frequent = F.col("n") >= max(2.0, head * total)
-    top = gains.where(frequent).select("key", "gain").toArrow()
+    top = pairs.where(frequent).mapInArrow(gains, "key long, gain double").toArrow()
     order = np.argsort(top.column("key").to_numpy())
     lower.head, lower.gain = top.column("key").to_numpy()[order], top.column("gain").to_numpy()[order]
-    table = gains.where(~frequent).select("key", "gain")
-    lower.filter = _filter(table)
+    rest = pairs.where(~frequent)
+    lower.filter = _filter(rest)
+    table = rest.mapInArrow(gains, "key long, gain double")
     return lower, table
 
 
@@ -194,14 +199,12 @@ def perplexity(docs: DataFrame, model: tuple[Lower, DataFrame], id: str = "doc_i
             for batch in slices(whole, "text"):
                 w = words_of(batch.column("text"), NO_SPACE)
                 v, x, rows = _bigrams(w, lower)
-                key = (v << 32) | x
-                at = np.minimum(np.searchsorted(lower.head, key), max(len(lower.head) - 1, 0))
-                is_head = lower.head[at] == key if len(lower.head) else np.zeros(len(key), bool)
-                yield batch, w, v, x, rows, key, at, is_head
+                yield batch, w, v, x, rows, (v << 32) | x
 
     def local(batches):
         lower = shared.value
-        for batch, w, v, x, rows, _, at, is_head in parts(batches):
+        for batch, w, v, x, rows, key in parts(batches):
+            at, is_head = _in_head(lower, key)
             logs = lower.weight[v] + lower.continuation[x] if len(v) else np.zeros(0)
             if is_head.any():
                 logs = logs + np.where(is_head, lower.gain[at], 0.0)
@@ -211,9 +214,10 @@ def perplexity(docs: DataFrame, model: tuple[Lower, DataFrame], id: str = "doc_i
 
     def asking(number: int):
         def run(batches):
-            for batch, _, v, x, rows, key, _, is_head in parts(batches):
-                tail = np.flatnonzero(~is_head & ((v + x) % passes == number))
+            for batch, _, v, x, rows, key in parts(batches):
+                tail = np.flatnonzero((v + x) % passes == number)
                 tail = tail[_may_be_listed(shared.value, key[tail])]
+                tail = tail[~_in_head(shared.value, key[tail])[1]]
                 order = tail[np.lexsort((key[tail], rows[tail]))]
                 new = np.ones(len(order), bool)
                 new[1:] = (key[order][1:] != key[order][:-1]) | (rows[order][1:] != rows[order][:-1])
