@@ -4,6 +4,9 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pytest
 
 from tests.llm.conftest import prose
 from venuelens.llm import perplexity, storage
@@ -110,3 +113,55 @@ def test_passes_leave_the_result_and_exchange_a_part_each(frame, monkeypatch):
         assert passes == 1 or all(0 < df.count() for df in written)
         for r in got:
             assert r.perplexity is None if want[r.doc_id] is None else math.isclose(r.perplexity, want[r.doc_id], rel_tol=1e-6)
+
+
+def test_numbers_agree_with_a_plain_search():
+    rng = np.random.default_rng(1)
+    for size in (0, 1, 2, 3, 1000, 4097):
+        words = np.unique(rng.integers(0, 1 << 63, size, dtype=np.int64).view(np.uint64) * np.uint64(2))
+        if size == 1000:  # many words with the same leading bits, and both ends
+            words = np.unique(np.concatenate([words, np.arange(50, dtype=np.uint64) + np.uint64(7 << 60), np.array([0, 2**64 - 1], np.uint64)]))
+        lower = perplexity.Lower(words, np.zeros(0), np.zeros(0), 0.0, np.zeros(0, np.int64), np.zeros(0))
+        asked = np.concatenate([words, words + np.uint64(1), rng.integers(0, 1 << 63, 500, dtype=np.int64).view(np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+        place = {int(w): i + 2 for i, w in enumerate(words)}
+        assert lower.numbers(asked).tolist() == [place.get(int(h), perplexity.RARE) for h in asked]
+
+
+def test_requests_are_whole_and_take_few_bytes():
+    rng = np.random.default_rng(2)
+    docs = rng.integers(-(1 << 62), 1 << 62, 500)
+    keys = (rng.integers(0, 100_000, 40_000) << 32) | rng.integers(0, 100_000, 40_000)
+    at = rng.integers(0, len(docs), len(keys))
+    batch = perplexity._requests(docs, keys, at, 4, 10)
+    assert sum(len(r["keys"] or b"") + len(r["at"]) for r in batch.to_pylist()) < 8 * len(keys)  # 20 in plain columns, twice
+    seen = []
+    for r in batch.to_pylist():
+        if r["keys"] is None:
+            assert (perplexity._unpacked(r["at"], r["n"], np.int64) == docs).all()
+        else:
+            got = np.cumsum(perplexity._unpacked(r["keys"], r["n"], np.int64))
+            assert (perplexity._place(got >> 32, got & 0xFFFFFFFF, 40) // 4 == r["bucket"]).all()
+            seen += zip(got.tolist(), perplexity._unpacked(r["at"], r["n"], np.int32).tolist())
+    assert Counter(seen) == Counter(zip(keys.tolist(), at.tolist()))
+
+
+def test_many_buckets_and_pieces_leave_the_result(frame, monkeypatch):
+    monkeypatch.setattr(perplexity, "LISTED", 5)
+    monkeypatch.setattr(perplexity, "PIECE", 20)
+    monkeypatch.setattr(perplexity, "slices", lambda batch, *_: (batch.slice(i, 2) for i in range(0, batch.num_rows, 2)))
+    trusted = [prose(i % 9, 60) for i in range(30)]
+    texts = [(i, prose(i % 10, 50) + " " + prose(i % 10, 50)) for i in range(12)]  # each bigram twice or more in its text
+    model = perplexity.fit(frame(list(enumerate(trusted))), head=0.5)
+    assert model[0].listed == model[1].count() > 50
+    want = brute(trusted, texts, 0.0)
+    got = perplexity.perplexity(frame([*texts, texts[3], texts[3], texts[7]]), model).collect()
+    assert len(got) == 15 and all(math.isclose(r.perplexity, want[r.doc_id], rel_tol=1e-6) for r in got)
+
+
+def test_a_piece_without_its_documents_is_an_error():
+    batch = perplexity._requests(np.arange(3), np.arange(6, dtype=np.int64) << 32, np.array([0, 1, 2, 0, 1, 2]), 1, 1)
+    listed = pa.table({"key": np.arange(6, dtype=np.int64) << 32, "gain": np.ones(6)})
+    answers = perplexity._answers(pa.Table.from_batches([batch]), listed)
+    assert perplexity._gained(answers).to_pydict() == {"doc": [0, 1, 2], "gained": [2.0, 2.0, 2.0]}
+    with pytest.raises(RuntimeError):
+        perplexity._gained(answers.filter(pc.is_valid(answers["gains"])))

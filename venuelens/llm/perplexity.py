@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venuelens.llm.storage import keep, mark, release
+from venuelens.llm.storage import keep, mark, no_leftovers, release
 from venuelens.llm.words import NO_SPACE, Words, mix, slices, words_of
 
 #: Numbers of the words outside the vocabulary and of the start of a text; vocabulary words follow.
@@ -19,10 +19,16 @@ RARE, START = 0, 1
 #: Bits of the filter that tells most bigrams that were never seen from those of the table; a fixed 16 MB.
 FILTER, BLOCK = 1 << 27, 1 << 16
 
+#: A group of requests meets about so many rows of the table and stems from about so many bytes of text; a piece of a task holds about so many requests.
+LISTED, TEXT, PIECE = 1 << 18, 1 << 25, 1 << 20
+
+#: Deals bigrams to passes and groups, see `_place`.
+SPREAD = 1_000_003
+
 
 @dataclass
 class Lower:
-    """What every task holds: 24 bytes a vocabulary word, 16 a head bigram (each has `head` of all or more), and the filter."""
+    """What every task holds: at most 40 bytes a vocabulary word, 16 a head bigram (each has `head` of all or more), and the filter."""
 
     words: np.ndarray  # ascending hashes of the vocabulary; word i has number i + 2
     weight: np.ndarray  # log of the weight of the lower order after a word, by number
@@ -31,14 +37,31 @@ class Lower:
     head: np.ndarray  # ascending keys of the frequent bigrams
     gain: np.ndarray  # what seeing the bigram adds to the log of the lower order's share
     filter: np.ndarray | None = None  # one bit for each hash of a bigram of the table, as bytes
+    listed: int = 0  # rows of the table
+    begin: np.ndarray | None = None  # place of the first word whose hash has these leading bits, or more; two to four places a word
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.words):
             return np.full(len(hashes), RARE, dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        if self.begin is None:
+            self.begin = _begin(self.words)
+        last = len(self.words) - 1
+        at = self.begin[(hashes >> np.uint64(65 - len(self.begin).bit_length())).astype(np.int64)].astype(np.int64)
+        behind = np.flatnonzero(self.words[at] < hashes)
+        while len(behind):
+            behind = behind[at[behind] < last]
+            at[behind] += 1
+            behind = behind[self.words[at[behind]] < hashes[behind]]
         return np.where(self.words[at] == hashes, at + 2, RARE)
 
 
+def _begin(words: np.ndarray) -> np.ndarray:
+    """For every value of the leading bits the place of the first of the ascending hashes that is not below it, the last place at most."""
+    bits = len(words).bit_length() + 1
+    leading = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+    return np.minimum(np.searchsorted(words, leading), len(words) - 1).astype(np.int32)
+
+
 def _bigrams(w: Words, lower: Lower) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Numbers of the word before (START for the first of a text) and of the word itself, and the row of each."""
     second = lower.numbers(w.hashes)
@@ -100,7 +123,8 @@ def _filter(table: DataFrame) -> np.ndarray:
             bits[np.frombuffer(x, "<u2")] = True
         return pa.table({"block": group.column("block")[:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
-    found = table.select("key").mapInArrow(positions, "block int, at binary").groupBy("block").applyInArrow(union, "block int, bits binary").toArrow()
+    with no_leftovers(table.sparkSession):
+        found = table.select("key").mapInArrow(positions, "block int, at binary").groupBy("block").applyInArrow(union, "block int, bits binary").toArrow()
     out = np.zeros((FILTER // BLOCK, BLOCK // 8), dtype=np.uint8)
     for block, bits in zip(found.column("block").to_pylist(), found.column("bits").to_pylist()):
         out[block] = np.frombuffer(bits, np.uint8)
@@ -118,6 +142,77 @@ def _in_head(lower: Lower, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, lower.head[at] == keys if len(lower.head) else np.zeros(len(keys), bool)
 
 
+def _place(v, w, parts: int):
+    """The part of a bigram, for arrays and for columns alike."""
+    return (v * SPREAD + w) % parts
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then the next ones, and so on, compressed: ascending numbers as differences take little room."""
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    plain = pa.decompress(data, decompressed_size=n * size, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(plain, np.uint8).reshape(size, n).T).view(kind).ravel()
+
+
+def _requests(docs: np.ndarray, keys: np.ndarray, at: np.ndarray, passes: int, buckets: int) -> pa.RecordBatch:
+    """A row for each bucket of a piece: its bigrams and the places of their documents in the piece. The row without keys has the documents.
+
+    The number of the piece is a hash of its documents in their order, so a task run again gives the same.
+    """
+    piece = mix(docs.view(np.uint64) + np.arange(len(docs), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).sum().astype(np.int64)
+    bucket = _place(keys >> 32, keys & 0xFFFFFFFF, passes * buckets) // passes
+    order = np.lexsort((keys, bucket))
+    bucket, keys, at = bucket[order], keys[order], at[order].astype(np.int32)
+    begin = np.flatnonzero(np.diff(bucket, prepend=-1))
+    cuts = list(zip(begin, np.append(begin[1:], len(keys))))
+    return pa.RecordBatch.from_pydict({
+        "piece": pa.array([piece] * (len(cuts) + 1), pa.int64()),
+        "bucket": pa.array([*bucket[begin], piece % buckets], pa.int32()),
+        "n": pa.array([*(j - i for i, j in cuts), len(docs)], pa.int32()),
+        "keys": pa.array([*(_packed(np.diff(keys[i:j], prepend=0)) for i, j in cuts), None], pa.binary()),
+        "at": pa.array([*(_packed(at[i:j]) for i, j in cuts), _packed(docs)], pa.binary()),
+    })
+
+
+def _answers(asked: pa.Table, listed: pa.Table) -> pa.Table:
+    """What the bigrams of a bucket add to the documents of each piece. Rows with documents pass through."""
+    order = np.argsort(listed.column("key").to_numpy())
+    key, gain = listed.column("key").to_numpy()[order], listed.column("gain").to_numpy()[order]
+    rows = []
+    for batch in asked.to_batches():
+        for piece, n, keys, at in zip(*(batch.column(c) for c in ("piece", "n", "keys", "at"))):
+            piece, n = piece.as_py(), n.as_py()
+            if not keys.is_valid:
+                rows.append((piece, n, at.as_py(), None))
+            elif len(key):
+                wanted = np.cumsum(_unpacked(keys.as_py(), n, np.int64))
+                found = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+                hit = key[found] == wanted
+                who, back = np.unique(_unpacked(at.as_py(), n, np.int32)[hit], return_inverse=True)
+                if len(who):
+                    rows.append((piece, len(who), _packed(np.diff(who, prepend=np.int32(0))), _packed(np.bincount(back, gain[found[hit]]))))
+    kinds = {"piece": pa.int64(), "n": pa.int32(), "at": pa.binary(), "gains": pa.binary()}
+    return pa.table({c: pa.array([r[i] for r in rows], kind) for i, (c, kind) in enumerate(kinds.items())})
+
+
+def _gained(piece: pa.Table) -> pa.Table:
+    """(doc, gained) of a piece: the answers of all buckets added up."""
+    rows = piece.to_pylist()
+    docs = next((_unpacked(r["at"], r["n"], np.int64) for r in rows if r["gains"] is None), None)
+    if docs is None:
+        raise RuntimeError("the documents came in another order when a task ran again; write them to a table first")
+    sums = np.zeros(len(docs))
+    for r in rows:
+        if r["gains"] is not None:
+            sums[np.cumsum(_unpacked(r["at"], r["n"], np.int32))] += _unpacked(r["gains"], r["n"], np.float64)
+    some = np.flatnonzero(sums)
+    return pa.table({"doc": docs[some], "gained": sums[some]})
+
+
 def fit(trusted: DataFrame, text: str = "text", share: float = 0.0, head: float = 2e-7) -> tuple[Lower, DataFrame]:
     """The model of all of `trusted`: what is broadcast, and the table (key, gain) of the other bigrams.
 
@@ -136,6 +231,7 @@ def fit(trusted: DataFrame, text: str = "text", share: float = 0.0, head: float
     if total:
         known = words.where(F.col("n") >= max(2.0, share * total)).select("key").toArrow().column("key").to_numpy()
         lower.words = np.sort(known.view(np.uint64))
+        lower.begin = _begin(lower.words) if len(known) else None
         lower.rare = -float(np.log(words.count() - len(known) + 1))
     release(trusted.sparkSession, before_fit)
     size = len(lower.words) + 2
@@ -174,24 +270,27 @@ def fit(trusted: DataFrame, text: str = "text", share: float = 0.0, head: float
     order = np.argsort(top.column("key").to_numpy())
     lower.head, lower.gain = top.column("key").to_numpy()[order], top.column("gain").to_numpy()[order]
     rest = pairs.where(~frequent)
-    lower.filter = _filter(rest)
+    lower.listed, lower.filter = rest.count(), _filter(rest)
     table = rest.mapInArrow(gains, "key long, gain double")
     return lower, table
 
 
-def perplexity(docs: DataFrame, model: tuple[Lower, DataFrame], id: str = "doc_id", text: str = "text", passes: int = 2) -> DataFrame:
+def perplexity(docs: DataFrame, model: tuple[Lower, DataFrame], id: str = "doc_id", text: str = "text", passes: int = 4) -> DataFrame:
     """(doc_id, n_tokens, perplexity) of every whole text.
 
-    The lower order and frequent bigrams are scored where the text is; every other bigram of a text that may be
-    listed, by the filter, is sent once, to be joined with the sharded table, and the text gets the sum back. Texts are not dealt out: further passes over them cost less.
-    The bigrams are dealt to `passes` passes over the texts, each with its share of the table; what a pass has exchanged goes when its sums are
-    written, so the disk holds one pass at a time. NULL and blank texts have no tokens and perplexity NULL; rows equal in id and text are
-    scored once and returned as often as they occur.
+    The lower order and frequent bigrams are scored where the text is. Every other bigram of a text that may be listed, by the filter, is asked
+    for: a task packs what a piece of its texts asks of a bucket of the sharded table into one row, a bucket's requests meet its rows in one group, and
+    the piece gets sums by document back. The number of buckets follows the table and the bytes of text, so a group stays small.
+    Texts are not dealt out: further passes over them cost less. The bigrams are dealt to `passes` passes over the texts, each with its share of
+    the table; what a pass has exchanged goes when its sums are written, so the disk holds one pass at a time. NULL and blank texts have no
+    tokens and perplexity NULL; rows equal in id and text are scored once and returned as often as they occur.
     """
     lower, table = model
     shared = docs.sparkSession.sparkContext.broadcast(lower)
     narrow = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("doc", F.xxhash64("doc_id", "text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
+    size = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(lower.listed // LISTED, size // TEXT) // passes + 1
 
     def parts(batches):
         lower = shared.value
@@ -214,27 +313,31 @@ def perplexity(docs: DataFrame, model: tuple[Lower, DataFrame], id: str = "doc_i
 
     def asking(number: int):
         def run(batches):
+            docs, keys, at = [], [], []
             for batch, _, v, x, rows, key in parts(batches):
-                tail = np.flatnonzero((v + x) % passes == number)
+                tail = np.flatnonzero(_place(v, x, passes) == number)
                 tail = tail[_may_be_listed(shared.value, key[tail])]
                 tail = tail[~_in_head(shared.value, key[tail])[1]]
-                order = tail[np.lexsort((key[tail], rows[tail]))]
-                new = np.ones(len(order), bool)
-                new[1:] = (key[order][1:] != key[order][:-1]) | (rows[order][1:] != rows[order][:-1])
-                begin = np.flatnonzero(new)
-                times = np.diff(np.append(begin, len(order)))
-                docs = batch.column("doc").to_numpy()[rows[order[begin]]]
-                yield pa.RecordBatch.from_pydict({"doc": docs, "key": pa.array(key[order[begin]], pa.int64()), "times": pa.array(times, pa.int32())})
+                at.append(rows[tail] + sum(map(len, docs)))
+                keys.append(key[tail])
+                docs.append(batch.column("doc").to_numpy())
+                if sum(map(len, keys)) >= PIECE:
+                    yield _requests(*map(np.concatenate, (docs, keys, at)), passes, buckets)
+                    docs, keys, at = [], [], []
+            if sum(map(len, keys)):
+                yield _requests(*map(np.concatenate, (docs, keys, at)), passes, buckets)
 
         return run
 
     rows = narrow.mapInArrow(local, f"doc long, doc_id {kind}, n_tokens long, logs double")
     rows = rows.groupBy("doc", "doc_id").agg(F.first("n_tokens").alias("n_tokens"), F.first("logs").alias("logs"), F.count("*").cast("int").alias("copies"))
-    turn = (F.shiftright("key", 32) + F.col("key").bitwiseAND(F.lit(0xFFFFFFFF))) % passes
+    place = _place(F.shiftright("key", 32), F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)), passes * buckets)
     sums = []
     for number in range(passes):
-        asked = narrow.mapInArrow(asking(number), "doc long, key long, times int")
-        sums.append(keep(asked.join(table.where(turn == number), "key").groupBy("doc").agg(F.sum(F.col("times") * F.col("gain")).alias("gained"))))
+        asked = narrow.mapInArrow(asking(number), "piece long, bucket int, n int, keys binary, at binary").groupBy("bucket")
+        listed = table.where(place % passes == number).select(F.floor(place / passes).cast("int").alias("bucket"), "key", "gain").groupBy("bucket")
+        answers = asked.cogroup(listed).applyInArrow(_answers, "piece long, n int, at binary, gains binary")
+        sums.append(keep(answers.groupBy("piece").applyInArrow(_gained, "doc long, gained double")))
     gained = reduce(DataFrame.union, sums).groupBy("doc").agg(F.sum("gained").alias("gained"))
     logs = F.col("logs") + F.coalesce(F.col("gained") / F.col("copies"), F.lit(0.0))
     found = rows.join(gained, "doc", "left").withColumn("_", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
