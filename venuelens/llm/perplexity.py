@@ -38,7 +38,7 @@ class Lower:
     gain: np.ndarray  # what seeing the bigram adds to the log of the lower order's share
     filter: np.ndarray | None = None  # one bit for each hash of a bigram of the table, as bytes
     listed: int = 0  # rows of the table
-    begin: np.ndarray | None = None  # place of the first word whose hash has these leading bits, or more; two to four places a word
+    begin: np.ndarray | None = None  # place of the first word whose hash has these leading bits, or more; two to four places a word, made by the worker
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.words):
@@ -231,7 +231,6 @@ def fit(trusted: DataFrame, text: str = "text", share: float = 0.0, head: float
     if total:
         known = words.where(F.col("n") >= max(2.0, share * total)).select("key").toArrow().column("key").to_numpy()
         lower.words = np.sort(known.view(np.uint64))
-        lower.begin = _begin(lower.words) if len(known) else None
         lower.rare = -float(np.log(words.count() - len(known) + 1))
     release(trusted.sparkSession, before_fit)
     size = len(lower.words) + 2
