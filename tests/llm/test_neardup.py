@@ -8,6 +8,7 @@ import pyarrow as pa
 from tests.llm.conftest import prose
 from venuelens.llm import neardup
 from venuelens.llm.components import components
+from venuelens.llm.storage import small_batches
 
 
 def brute(texts, size, percent):
@@ -132,3 +133,39 @@ def test_counters_are_added_up_within_tasks(frame):
     want = np.bincount((sets & np.uint64(neardup.COUNTERS - 1)).astype(np.int64), minlength=neardup.COUNTERS)
     assert (neardup._counters(df, 2) == want).all()
     assert neardup._counted_blocks(df, 2).count() <= 3 * neardup.COUNTERS // neardup.BLOCK < (want > 0).sum()
+
+
+def test_texts_go_to_python_in_batches_of_bytes(spark, frame, monkeypatch):
+    """Between `describe` and the last comparison no step hands over 10,000 texts at once; the session's own setting comes back."""
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+
+    def spy(df, real=neardup.keep):
+        seen.append(spark.conf.get(key, None))
+        return real(df)
+
+    monkeypatch.setattr(neardup, "keep", spy)
+    before = spark.conf.get(key, None)
+    found = neardup.near_duplicates(frame([(1, prose(1, 60)), (2, prose(1, 60)), (3, prose(2, 60))]))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {1: 1, 2: 1, 3: 3}
+    assert seen and all(x is not None and int(x) <= 4 << 20 for x in seen)
+    assert spark.conf.get(key, None) == before
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    texts = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 2000) text")
+    with small_batches(spark, 1 << 20):
+        found = [r["n"] for r in texts.mapInArrow(sizes, "n long").collect()]
+    assert len(found) > 1 and max(found) < 3 << 20
+
+
+def test_broadcasts_of_ended_steps_are_dropped(spark, frame, monkeypatch):
+    """Each of the large steps is followed by a collection of garbage, the last one too."""
+    calls = []
+    monkeypatch.setattr(neardup, "keep", lambda df, real=neardup.keep: (calls.append("keep"), real(df))[1])
+    monkeypatch.setattr(neardup, "tidy", lambda spark, real=neardup.tidy: (calls.append("tidy"), real(spark))[1])
+    neardup.near_duplicates(frame([(1, prose(1, 60)), (2, prose(2, 60))]))
+    assert calls[-1] == "tidy" and "".join(x[0] for x in calls).count("kt") >= 4

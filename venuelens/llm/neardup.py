@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuelens.llm.components import components
-from venuelens.llm.storage import keep
+from venuelens.llm.storage import keep, small_batches, tidy
 from venuelens.llm.words import NO_SPACE, mix, slices, words_of
 
 #: A signature has SYMBOLS one-byte symbols, of which the first ones form CHUNKS chunks of CHUNK. With ERRORS wrong symbols allowed in a chunk, all pairs that
@@ -315,6 +315,12 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     in links, and each gives a row. A row without doc_id has component_id NULL and is kept. Empty tables give no rows;
     further columns are ignored.
     """
+    with small_batches(docs.sparkSession):
+        return _near_duplicates(docs, id, text, size, percent)
+
+
+def _near_duplicates(docs: DataFrame, id: str, text: str, size: int, percent: int) -> DataFrame:
+    spark = docs.sparkSession
     rows = keep(describe(docs, id, text, size))
     known = rows.where("doc_id is not null and n_shingles > 0")
     classes = known.groupBy("set_id").agg(
@@ -330,29 +336,36 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     # Sorted by id, so that the repeated signatures take little space.
     members = keep(met.select("id", "key").join(pull.join(classes, "id").select("id", "pull", "n", "sig"), "id"))
     texts = keep(_texts(docs, id, text, classes.join(pull.select("id"), "id", "left_semi").select("id", "text_id")))
+    tidy(spark)
 
     pivots = members.groupBy("key").agg(F.max(F.struct("pull", "id", "n", "sig")).alias("p"))
     met_pivot = members.alias("x").join(pivots, "key").where(F.col("x.id") != F.col("p.id")).where(_alike(F.col("x.n"), F.col("p.n"), percent))
     stars = keep(_close(met_pivot.select("x.id", F.col("p.id").alias("other"), F.col("x.sig").alias("a"), F.col("p.sig").alias("b"))).distinct())
     compared = keep(_compare(stars, texts, size, percent))
+    tidy(spark)
     links = keep(compared.where("near").select(F.col("id").alias("a"), F.col("other").alias("b")).union(_repeated(placed)))
     groups = keep(components(links))
+    tidy(spark)
 
     labelled = members.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     main = _with_main(labelled).join(pivots.select("key", F.col("p.id").alias("other")), "key")
     # Pairs with the pivot itself are done.
     facts = compared.select("id", "other", "both", "rest", "bits", "mask")
     open_keys = keep(labelled.join(main, "key").where("id <> other").join(facts, ["id", "other"], "left"))
+    tidy(spark)
     side = lambda name: F.struct(*[f"{name}.{c}" for c in ("id", "n", "sig", "both", "rest", "bits", "mask")]).alias(name)
     few = _across(open_keys.where(F.col("outside") <= CROWD), percent).select("key", side("x"), side("y"))
     rare = keep(_rare(keep(texts.join(open_keys.where(F.col("outside") > CROWD).select("id", "component").distinct(), "id")), size, percent))
+    tidy(spark)
     # Of the first shingle that two texts share, in the order, the ones after it bound what they share in all.
     most = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
     crowded = _across(rare.join(_with_main(rare).select("key", "main"), "key"), percent)
     crowded = crowded.where((100 + percent) * most >= percent * (F.col("x.n") + F.col("y.n"))).select("x.id", F.col("y.id").alias("other"))
     crossed = _open_pairs(few, percent).union(crowded).select(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other")).distinct()
-    more = _compare(crossed, texts, size, percent).where("near").select(F.col("id").alias("a"), F.col("other").alias("b"))
+    more = keep(_compare(crossed, texts, size, percent).where("near").select(F.col("id").alias("a"), F.col("other").alias("b")))
+    tidy(spark)
     groups = components(links.union(more))
+    tidy(spark)
 
     component = F.coalesce("component", "id", "doc_id")
     return placed.join(groups, "id", "left").select(

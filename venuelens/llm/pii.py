@@ -247,7 +247,7 @@ def find_pii(docs: DataFrame, field: Field, id: str = "doc_id", text: str = "tex
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 1 << 20):
                 base, spans = all_spans(batch.column("text").to_pylist(), shared.value, least)
                 counts = {f"n_{kind}": pa.array([sum(s[0] == k for s in x) for x in base], pa.int64()) for k, kind in enumerate(KINDS)}
                 yield pa.RecordBatch.from_pydict(
@@ -268,7 +268,7 @@ def redact(docs: DataFrame, field: Field, text: str = "text", chars: str | None
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, text):
+            for batch in slices(whole, text, 1 << 20):
                 texts = batch.column(text).to_pylist()
                 new = [cut(t, s) if s else t for t, s in zip(texts, all_spans(texts, shared.value, least)[1])]
                 at = columns.index(text)

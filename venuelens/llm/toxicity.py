@@ -83,7 +83,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 1 << 20):
                 w = words_of(batch.column("text"), ALNUM)
                 begin, found = sentence_starts(w), features(w)
                 at = np.searchsorted(begin, w.first)
@@ -176,7 +176,7 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text",
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 1 << 20):
                 scores, sentences = judge(batch.column("text"), shared.value, located)
                 yield pa.RecordBatch.from_pydict(
                     {"doc_id": batch.column("doc_id"), "score": scores, "predicted": pa.array((scores >= threshold).astype(np.int32)), "sentences": pa.array(sentences, place)}
@@ -213,7 +213,7 @@ def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: flo
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, text):
+            for batch in slices(whole, text, 1 << 20):
                 yield batch.filter(pa.array(judge(batch.column(text), shared.value, 0.999999)[0] < threshold))
 
     return docs.select(*[docs[f"`{c}`"] for c in columns]).mapInArrow(run, docs.schema)
