@@ -100,3 +100,22 @@ def test_repeated_id_links_its_texts(frame):
     texts = [(1, prose(1, 60)), (2, prose(1, 60)), (2, prose(2, 60)), (3, prose(2, 60)), (9, prose(3, 60)), (9, prose(4, 60)), (10, prose(4, 60))]
     got = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(frame(texts)).collect()}
     assert got == {(1, 1), (2, 1), (3, 1), (9, 9), (10, 9)}
+
+
+def test_no_side_of_a_join_is_broadcast_by_the_size_of_files(frame, monkeypatch):
+    """Files of a few MB hold fingerprints that make 34 rows each: what Spark guesses from them must not decide."""
+    from venuelens.llm import components
+
+    plans, keep, set_before = [], simhash.keep, frame([]).sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df)
+
+    monkeypatch.setattr(simhash, "keep", spy)
+    monkeypatch.setattr(components, "keep", spy)
+    rng = random.Random(3)
+    out = simhash.near_duplicates(frame([(i, near(prose(i % 9, 300), rng, i % 4)) for i in range(60)]))
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 4 and not any("Broadcast" in p for p in plans)
+    assert frame([]).sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold") == set_before

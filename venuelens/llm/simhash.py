@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venuelens.llm.components import components
-from venuelens.llm.storage import keep
+from venuelens.llm.storage import keep, measured_broadcasts
 from venuelens.llm.words import NO_SPACE, mix, slices, words_of
 
 BITS = 64
@@ -124,14 +124,16 @@ def close_pairs(distinct: DataFrame, most: int = 2) -> DataFrame:
     """
     if most not in (1, 2):
         raise ValueError("most must be 1 or 2")
+    spark = distinct.sparkSession
     zero = {"key": F.lit(0).cast("long"), "low": F.lit(0), "width": F.lit(BITS), "left": F.lit(most)}
     rows, found = cut_finer(distinct.select("fp", *[v.alias(k) for k, v in zero.items()])), []
     while True:
         sizes = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-        met = keep(rows.join(sizes, "key"))
+        with measured_broadcasts(spark):
+            met = keep(rows.join(sizes, "key"))
         crowded = (F.col("members") > TOGETHER) & (F.col("width") > 1)
         few = met.where(~crowded).select("key", "fp")
-        pairs = few.alias("x").join(few.alias("y"), "key").where(F.col("x.fp") < F.col("y.fp"))
+        pairs = few.alias("x").join(few.alias("y").hint("merge"), "key").where(F.col("x.fp") < F.col("y.fp"))
         apart = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp")))
         found.append(pairs.where(apart <= most).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")))
         many = met.where(crowded)
@@ -159,10 +161,12 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     # A class that has the id of another one as its own smallest is the same document: both get one node.
     ends = classes.select(F.col("fp").alias("a"), F.col("id").alias("from"))
     links = pairs.join(ends, "a").join(classes.select(F.col("fp").alias("b"), F.col("id").alias("to")), "b").select(F.col("from").alias("a"), F.col("to").alias("b"))
-    placed = keep(rows.join(classes, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("id")).alias("id")))
-    several = placed.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
-    same = placed.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("id").alias("b")).where("a < b").distinct()
-    groups = components(links.union(same))
-    return placed.join(groups, "id", "left").select(
+    with measured_broadcasts(docs.sparkSession):
+        placed = keep(rows.join(classes, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("id")).alias("id")))
+        several = placed.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
+        same = placed.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("id").alias("b")).where("a < b").distinct()
+        groups = components(links.union(same))
+    # This join runs later, as part of what the caller does.
+    return placed.join(groups.hint("merge"), "id", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), BITS // 4, "0")).alias("fingerprint"), F.coalesce("component", "id").alias("component_id")
     )
